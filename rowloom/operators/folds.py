@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.expr import uniform_hash
 from rowloom.operators.ordered import running_totals
+from rowloom.session import is_planned_small
 
 
 def _hex_bucket(digest: Column) -> Column:
@@ -17,9 +18,9 @@ def _hex_bucket(digest: Column) -> Column:
 def positions(df: DataFrame, key: str, seed: int, name: str = "position", by: tuple[str, ...] = ()) -> DataFrame:
     """Add the 0-based place of each row in md5 order, per group ``by``."""
     hashed = df.withColumn("_digest", uniform_hash(key, seed)).withColumn("_one", F.lit(1))
-    placed = running_totals(
-        hashed.withColumn("_bucket", _hex_bucket(F.col("_digest"))), ["_digest", key], ["_one"], by
-    )
+    if not is_planned_small(df):
+        hashed = hashed.withColumn("_bucket", _hex_bucket(F.col("_digest")))
+    placed = running_totals(hashed, ["_digest", key], ["_one"], by)
     return placed.select(*df.columns, (F.col("_one_upto") - 1).alias(name))
 
 
@@ -32,8 +33,8 @@ def stratified(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42)
 
 
 def with_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """All rows with their fold; unlabelled rows have none."""
-    return df.join(stratified(df, key, label, k, seed).select(key, "fold"), key, "left")
+    """All rows with their fold (replacing an earlier one); unlabelled rows have none."""
+    return df.drop("fold").join(stratified(df, key, label, k, seed).select(key, "fold"), key, "left")
 
 
 def group_fold(group: str, k: int = 5, seed: int = 42) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.session import shared_small
+from rowloom.session import is_planned_small, shared_small
 
 #: Upper bound of order buckets, hence of the rows any single prefix sum sees per group.
 MAX_BUCKETS = 4096
@@ -67,12 +67,21 @@ def text_bucket(distinct_values: DataFrame, c: str, n: int = TEXT_BUCKETS) -> Co
 
 
 def with_order_bucket(df: DataFrame, order: str) -> DataFrame:
-    """Add ``_bucket``; ``df`` has one row per value of a text ``order`` column."""
+    """Add ``_bucket`` unless Catalyst already knows ``df`` to be small.
+
+    For a text ``order`` column, ``df`` has one row per value.
+    """
+    if is_planned_small(df):
+        return df
     if isinstance(df.schema[order].dataType, T.StringType):
         return df.withColumn("_bucket", text_bucket(df, order))
     return with_numeric_buckets(df, [order]).withColumnRenamed(f"_bucket_{order}", "_bucket")
 
 
+def bucket_key(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c == "_bucket"]
+
+
 def running_totals(
     df: DataFrame,
     order: Sequence[str],
@@ -81,13 +90,22 @@ def running_totals(
 ) -> DataFrame:
     """Inclusive running sums ``<m>_upto`` and totals ``<m>_total`` per group ``by``.
 
-    ``df`` carries ``_bucket`` (see with_order_bucket), consistent with ``order``, and
-    ``order`` has no ties inside a group.
+    A large ``df`` carries ``_bucket`` (see with_order_bucket), consistent with ``order``; there
+    are no ties of ``order`` inside a group.
     """
     by = list(by)
+    bucket = bucket_key(df)
+    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    running = Window.unboundedPreceding, 0
+    if not bucket:
+        upto = whole.orderBy(*order).rowsBetween(*running)
+        return df.select(
+            *df.columns,
+            *[F.sum(m).over(upto).alias(f"{m}_upto") for m in measures],
+            *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures],
+        )
     totals = df.groupBy(*by, "_bucket").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
     # At most one row per bucket in each group of ``by``: a bounded window.
-    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *by,
@@ -95,13 +113,13 @@ def running_totals(
         *[F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_o_{m}") for m in measures],
         *[F.sum(f"_t_{m}").over(whole).alias(f"{m}_total") for m in measures],
     )
-    inside = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(*running)
     joined = df.join(offsets, [*by, "_bucket"])
     return joined.select(
-        *df.columns,
+        *[c for c in df.columns if c != "_bucket"],
         *[(F.col(f"_o_{m}") + F.sum(m).over(inside)).alias(f"{m}_upto") for m in measures],
         *[f"{m}_total" for m in measures],
-    ).drop("_bucket")
+    )
 
 
 def dense_codes(values: DataFrame, order: str, name: str) -> DataFrame:
@@ -121,6 +139,8 @@ def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataF
     that bucket are grouped and ordered.
     """
     by = list(by)
+    if is_planned_small(df.select(*by, *cols)):
+        return df.groupBy(*by).agg(*[F.median(c).alias(f"{c}_median") for c in cols])
     narrow = with_numeric_buckets(df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]), cols)
     cells = F.array(
         *[

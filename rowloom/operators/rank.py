@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.operators.joins import HOT_SHARE, skew_join
-from rowloom.operators.ordered import running_totals, with_numeric_buckets
+from rowloom.operators.ordered import bucket_key, running_totals, with_order_bucket
 
 
 def melt(df: DataFrame, keep: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -25,8 +25,8 @@ def rank_table(scores: DataFrame) -> DataFrame:
 
     Tied scores collapse to one row before anything is ordered.
     """
-    bucketed = with_numeric_buckets(scores, ["score"]).withColumnRenamed("_bucket_score", "_bucket")
-    tallied = bucketed.groupBy("model", "_bucket", "score").agg(F.count(F.lit(1)).alias("n"))
+    bucketed = with_order_bucket(scores, "score")
+    tallied = bucketed.groupBy("model", *bucket_key(bucketed), "score").agg(F.count(F.lit(1)).alias("n"))
     placed = running_totals(tallied, ["score"], ["n"], ["model"])
     average_rank = F.col("n_upto") - F.col("n") + (F.col("n") + 1) / F.lit(2.0)
     return placed.select("model", "score", "n", "n_total", (average_rank / F.col("n_total")).alias("pct"))
@@ -62,8 +62,8 @@ def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFr
     rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).select(
         *by, F.col(label).cast("int").alias("_y"), F.col(score).cast("double").alias("_score")
     )
-    bucketed = with_numeric_buckets(rows, ["_score"]).withColumnRenamed("_bucket__score", "_bucket")
-    tallied = bucketed.groupBy(*by, "_bucket", "_score").agg(
+    bucketed = with_order_bucket(rows, "_score")
+    tallied = bucketed.groupBy(*by, *bucket_key(bucketed), "_score").agg(
         F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg")
     )
     placed = running_totals(tallied, ["_score"], ["_neg"], by)

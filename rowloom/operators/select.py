@@ -71,9 +71,11 @@ def correlated_columns(
     column, itself dropped or not. ``sample`` draws that many rows first."""
     rows = sample_n(df, key, sample) if sample else df
     pairs = pair_correlations(rows, cols).where(F.abs("r") > limit)
-    name = F.element_at(F.array(*[F.lit(c) for c in cols]), (F.col("j") + 1).cast("int"))
-    return pairs.groupBy(F.col("j").alias("position")).agg(F.count(F.lit(1)).alias("n_earlier")).select(
-        "position", name.alias("column"), "n_earlier"
+    name = F.element_at(F.array(*[F.lit(c) for c in cols]), (F.col("position") + 1).cast("int"))
+    return (
+        pairs.groupBy(F.col("j").alias("position"))
+        .agg(F.count(F.lit(1)).alias("n_earlier"))
+        .select("position", name.alias("column"), "n_earlier")
     )
 
 

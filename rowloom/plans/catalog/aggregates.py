@@ -35,7 +35,7 @@ def sql_stats(c: str, name: str, stats, cond: str | None = None, digits: int = 6
 @query(
     "num_agg",
     f"""WITH {INSTALMENTS} SELECT id, {sql_stats('due', 'INS_DUE', ['min', 'max', 'mean', 'sum', 'var'], digits=4)},
-        {sql_stats('number::DOUBLE', 'INS_NUMBER', ['min', 'max', 'mean', 'sum', 'var'], digits=4)}
+        {sql_stats("number::DOUBLE", "INS_NUMBER", ["min", "max", "mean", "sum", "var"])}
         FROM instalments GROUP BY id""",
 )
 def num_agg(spark, d):

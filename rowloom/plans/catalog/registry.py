@@ -37,7 +37,8 @@ def r6(c) -> F.Column:
     return F.round(E.col(c), 6)
 
 
-# Children of a customer: one decision per order. t is days before the newest order.
+# Children of a customer: one decision per order. t is days before the newest order. Amounts
+# are scaled by an odd figure, so that no value sits on a rounding edge.
 def decisions(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     newest = table(spark, d, "orders").select(F.max("o_orderdate")).scalar()
@@ -45,7 +46,7 @@ def decisions(spark: SparkSession, d: str) -> DataFrame:
         F.col("o_custkey").alias("id"),
         F.col("o_orderkey").alias("loan"),
         F.datediff("o_orderdate", newest).alias("t"),
-        (F.col("o_totalprice") / 1000).alias("amount"),
+        (F.col("o_totalprice") / 991.07).alias("amount"),
         F.nullif("o_orderstatus", F.lit("P")).alias("status"),
         F.col("o_orderpriority").alias("priority"),
     )
@@ -55,7 +56,7 @@ DECISIONS = """
 decisions AS (
   SELECT o_custkey AS id, o_orderkey AS loan,
          date_diff('day', (SELECT max(o_orderdate) FROM orders), o_orderdate) AS t,
-         o_totalprice / 1000 AS amount, nullif(o_orderstatus, 'P') AS status, o_orderpriority AS priority
+         o_totalprice / 991.07::DOUBLE AS amount, nullif(o_orderstatus, 'P') AS status, o_orderpriority AS priority
   FROM orders)"""
 
 
@@ -73,8 +74,8 @@ def instalments(spark: SparkSession, d: str) -> DataFrame:
         F.col("l_orderkey").alias("loan"),
         F.datediff("l_shipdate", newest).alias("t"),
         E.null_if("l_linenumber", 7).alias("number"),
-        (F.col("l_extendedprice") / 1000).alias("due"),
-        (F.col("l_extendedprice") / 1000 * (1 - F.col("l_discount"))).alias("paid"),
+        (F.col("l_extendedprice") / 991.07).alias("due"),
+        (F.col("l_extendedprice") / 991.07 * (1 - F.col("l_discount"))).alias("paid"),
         E.clip_low(late - 30, 0).alias("dpd"),
         E.clip_low(30 - late, 0).alias("dbd"),
         F.col("l_quantity").alias("quantity"),
@@ -88,8 +89,8 @@ INSTALMENTS = """
 instalments AS (
   SELECT o_custkey AS id, l_orderkey AS loan,
          date_diff('day', (SELECT max(l_shipdate) FROM lineitem), l_shipdate) AS t,
-         nullif(l_linenumber, 7) AS number, l_extendedprice / 1000 AS due,
-         l_extendedprice / 1000 * (1 - l_discount) AS paid,
+         nullif(l_linenumber, 7) AS number, l_extendedprice / 991.07::DOUBLE AS due,
+         l_extendedprice / 991.07::DOUBLE * (1 - l_discount) AS paid,
          greatest(date_diff('day', o_orderdate, l_shipdate) - 30, 0) AS dpd,
          greatest(30 - date_diff('day', o_orderdate, l_shipdate), 0) AS dbd,
          l_quantity AS quantity, l_discount AS discount, l_returnflag AS status, l_suppkey AS version
