@@ -34,13 +34,13 @@ def sql_stats(c: str, name: str, stats, cond: str | None = None, digits: int = 6
 
 @query(
     "num_agg",
-    f"""WITH {INSTALMENTS} SELECT id, {sql_stats('due', 'INS_DUE', ['min', 'max', 'mean', 'sum', 'var'], digits=4)},
+    f"""WITH {INSTALMENTS} SELECT id, {sql_stats('due', 'INS_DUE', ['min', 'max', 'mean', 'sum', 'var'])},
         {sql_stats("number::DOUBLE", "INS_NUMBER", ["min", "max", "mean", "sum", "var"])}
         FROM instalments GROUP BY id""",
 )
 def num_agg(spark, d):
     rows = instalments(spark, d).withColumn("number", F.col("number").cast("double"))
-    return rounded(rollup.rollup(rows, "id", "INS", ["due", "number"], num_stats=["min", "max", "mean", "sum", "var"]), 4)
+    return rounded(rollup.rollup(rows, "id", "INS", ["due", "number"], num_stats=["min", "max", "mean", "sum", "var"]))
 
 
 @query(
