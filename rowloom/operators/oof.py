@@ -214,10 +214,9 @@ def child_submodel(
 
 def score_rollup(df: DataFrame, key: str, score: str, prefix: str, high_risk: float = 0.15) -> DataFrame:
     """Mean, max, min and deviation of row scores per entity, and the count above a threshold."""
-    s = F.col(score)
     return df.groupBy(key).agg(
-        *[stat(how, s).alias(f"{prefix}_SUB_{how.upper()}") for how in ("mean", "max", "min", "std")],
-        F.count_if(s > high_risk).alias(f"{prefix}_SUB_HIGHRISK"),
+        *[stat(how, score).alias(f"{prefix}_SUB_{how.upper()}") for how in ("mean", "max", "min", "std")],
+        F.count_if(F.col(score) > high_risk).alias(f"{prefix}_SUB_HIGHRISK"),
     )
 
 

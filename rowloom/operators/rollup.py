@@ -8,7 +8,7 @@ keeps at most k rows per entity and partition before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,96 +66,114 @@ class Trend:
 
 
 @dataclass
-class _Batchable:
+class _Aggregate:
+    """An output column: SQL text, or a Column given by the caller. Text keeps the building of
+    plans with thousands of aggregates cheap."""
+
     name: str
-    value: Column
-    source: str = field(default="")
+    value: Column | str
+    source: str = ""
+
+    def column(self) -> Column:
+        if isinstance(self.value, str):
+            return F.expr(f"{self.value} AS `{self.name}`")
+        return self.value.alias(self.name)
+
+
+def _quoted(c: str) -> str:
+    return f"`{c}`"
+
 
+def _literal(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
 
-def stat(how: str, x: Column, cond: Column | None = None) -> Column:
+
+def stat_sql(how: str, x: str, cond: str | None = None) -> str:
     """One aggregate over the rows where ``cond`` holds.
 
     A sum over present rows without a value is 0; over no rows it is NULL, and so is the size.
     """
-    v = x if cond is None else F.when(cond, x)
-    if how == "mean":
-        return F.avg(v)
-    if how == "max":
-        return F.max(v)
-    if how == "min":
-        return F.min(v)
-    if how == "var":
-        return F.var_samp(v)
-    if how == "std":
-        return F.stddev_samp(v)
-    if how == "count":
-        return F.count(v)
-    if how == "nunique":
-        return F.count_distinct(v)
-    if how == "any":
-        return E.flag(F.max(v) > 0)
+    v = x if cond is None else f"CASE WHEN {cond} THEN {x} END"
+    plain = {
+        "mean": "avg({v})",
+        "max": "max({v})",
+        "min": "min({v})",
+        "var": "var_samp({v})",
+        "std": "stddev_samp({v})",
+        "count": "count({v})",
+        "nunique": "count(DISTINCT {v})",
+        "any": "cast(coalesce(max({v}) > 0, false) AS int)",
+    }
+    if how in plain:
+        return plain[how].format(v=v)
     if how == "sum":
-        total = F.coalesce(F.sum(v), F.lit(0))
-        return total if cond is None else F.when(F.count_if(cond) > 0, total)
+        total = f"coalesce(sum({v}), 0)"
+        return total if cond is None else f"CASE WHEN count_if({cond}) > 0 THEN {total} END"
     if how == "size":
-        return F.count(F.lit(1)) if cond is None else F.nullif(F.count_if(cond), F.lit(0))
+        return "count(1)" if cond is None else f"nullif(count_if({cond}), 0)"
     raise ValueError(f"unknown statistic {how!r}")
 
 
-def decayed_mean(value: str, time: str, rate: float) -> Column:
-    w = F.exp(F.lit(float(rate)) * F.col(time))
-    complete = F.col(value).isNotNull() & F.col(time).isNotNull()
-    return F.try_divide(F.sum(F.when(complete, F.col(value) * w)), F.sum(F.when(complete, w)))
+def stat(how: str, column: str, where: str | None = None) -> Column:
+    return F.expr(stat_sql(how, _quoted(column), where))
+
 
+def decayed_mean(value: str, time: str, rate: float) -> str:
+    v, t = _quoted(value), _quoted(time)
+    w = f"exp({float(rate)!r}D * {t})"
+    complete = f"{v} IS NOT NULL AND {t} IS NOT NULL"
+    return f"try_divide(sum(CASE WHEN {complete} THEN {v} * {w} END), sum(CASE WHEN {complete} THEN {w} END))"
 
-def trend_slope(value: str, time: str, min_rows: int = 3, ridge: float = 1e-8) -> Column:
-    complete = F.col(value).isNotNull() & F.col(time).isNotNull()
-    t = F.when(complete, F.col(time).cast("double"))
-    v = F.when(complete, F.col(value).cast("double"))
-    n = F.count_if(complete)
-    return F.when(n >= min_rows, F.covar_pop(t, v) * n / (F.var_pop(t) * n + F.lit(ridge)))
+
+def trend_slope(value: str, time: str, min_rows: int = 3, ridge: float = 1e-8) -> str:
+    complete = f"{_quoted(value)} IS NOT NULL AND {_quoted(time)} IS NOT NULL"
+    t = f"CASE WHEN {complete} THEN cast({_quoted(time)} AS double) END"
+    v = f"CASE WHEN {complete} THEN cast({_quoted(value)} AS double) END"
+    n = f"count_if({complete})"
+    return f"CASE WHEN {n} >= {min_rows} THEN covar_pop({t}, {v}) * {n} / (var_pop({t}) * {n} + {ridge!r}D) END"
 
 
 def _name(*parts: str) -> str:
     return clean_name("_".join(p for p in parts if p))
 
 
-def _share_columns(
-    prefix: str, part: str, cond: Column | None, categories: Mapping[str, Sequence], binary: Sequence[str], stats
-) -> list[_Batchable]:
+def _share_columns(prefix, part, cond, categories, binary, stats) -> list[_Aggregate]:
     out = []
     for c, values in categories.items():
         for v in values:
-            hit = F.col(c).isNull() if v is None else F.col(c).eqNullSafe(F.lit(v))
+            hit = f"{_quoted(c)} IS NULL" if v is None else f"{_quoted(c)} <=> {_literal(v)}"
             label = "nan" if v is None else str(v)
             for how in stats:
-                out.append(_Batchable(_name(prefix, part, c, label, how), stat(how, hit.cast("int"), cond), c))
+                out.append(
+                    _Aggregate(_name(prefix, part, c, label, how), stat_sql(how, f"cast({hit} AS int)", cond), c)
+                )
     for c in binary:
-        for how in stats:
-            out.append(_Batchable(_name(prefix, part, c, how), stat(how, F.col(c), cond), c))
+        out += [_Aggregate(_name(prefix, part, c, how), stat_sql(how, _quoted(c), cond), c) for how in stats]
     return out
 
 
-def _slice_columns(prefix, s: Slice, cond, num, num_stats, categories, binary, cat_stats) -> list[_Batchable]:
+def _slice_columns(prefix, s: Slice, cond, num, num_stats, categories, binary, cat_stats) -> list[_Aggregate]:
     wanted = s.num if s.num is not None else {c: num_stats for c in num}
     out = [
-        _Batchable(_name(prefix, s.name, c, how), stat(how, F.col(c), cond), c)
+        _Aggregate(_name(prefix, s.name, c, how), stat_sql(how, _quoted(c), cond), c)
         for c, stats in wanted.items()
         for how in stats
     ]
     if s.shares:
         out += _share_columns(prefix, s.name, cond, categories, binary, cat_stats)
     if s.count:
-        out.append(_Batchable(_name(prefix, s.name, "COUNT"), stat("size", F.lit(1), cond)))
+        out.append(_Aggregate(_name(prefix, s.name, "COUNT"), stat_sql("size", "1", cond)))
     return out
 
 
-def _aggregate(df: DataFrame, key: str, columns: Sequence[_Batchable], batch: int) -> DataFrame:
+def _aggregate(df: DataFrame, key: str, columns: Sequence[_Aggregate], batch: int) -> DataFrame:
     """One groupBy per batch on the same key; batches join without another shuffle."""
     columns = sorted(columns, key=lambda c: c.source)  # stable: a batch reads few columns
     pieces = [columns[i : i + batch] for i in range(0, len(columns), batch)] or [[]]
     frames = [
-        df.groupBy(key).agg(*[c.value.alias(c.name) for c in piece]) if piece else df.select(key).distinct()
+        df.groupBy(key).agg(*[c.column() for c in piece]) if piece else df.select(key).distinct()
         for piece in pieces
     ]
     out = frames[0]
@@ -183,7 +201,7 @@ def rollup(
     cat_stats: Sequence[str] = CAT_STATS,
     decays: Sequence[Decay] = (),
     trends: Sequence[Trend] = (),
-    extra: Mapping[str, Column] | None = None,
+    extra: Mapping[str, Column | str] | None = None,
     batch: int = BATCH,
 ) -> DataFrame:
     """Roll child rows up to one row per ``key`` (rows without a key are left out).
@@ -193,28 +211,26 @@ def rollup(
     """
     categories = categories or {}
     rows = df.where(F.col(key).isNotNull())
-    fused: list[_Batchable] = []
+    fused: list[_Aggregate] = []
     by_rank: dict[tuple, list[Slice]] = {}
     for s in slices:
         if s.ranking:
             by_rank.setdefault(s.ranking, []).append(s)
             continue
-        cond = F.coalesce(F.expr(s.where), F.lit(False)) if s.where else None
-        fused += _slice_columns(prefix, s, cond, num, num_stats, categories, binary, cat_stats)
+        fused += _slice_columns(prefix, s, s.where, num, num_stats, categories, binary, cat_stats)
     for d in decays:
-        fused += [_Batchable(_name(prefix, c, "TWMEAN"), decayed_mean(c, d.time, d.rate), c) for c in d.cols]
+        fused += [_Aggregate(_name(prefix, c, "TWMEAN"), decayed_mean(c, d.time, d.rate), c) for c in d.cols]
     for t in trends:
-        fused += [_Batchable(_name(prefix, c, "TREND"), trend_slope(c, t.time, t.min_rows), c) for c in t.cols]
+        fused += [_Aggregate(_name(prefix, c, "TREND"), trend_slope(c, t.time, t.min_rows), c) for c in t.cols]
     for name, value in (extra or {}).items():
-        fused.append(_Batchable(name, value))
+        fused.append(_Aggregate(name, value))
 
     out = _aggregate(rows, key, fused, batch) if fused or not by_rank else None
     for (order, newest), group in by_rank.items():
         top = ranked(rows, key, order, newest, max(s.last_k or s.first_k for s in group))
-        columns: list[_Batchable] = []
+        columns: list[_Aggregate] = []
         for s in group:
-            cond = F.col("_rn") <= (s.last_k or s.first_k)
-            columns += _slice_columns(prefix, s, cond, num, num_stats, categories, binary, cat_stats)
+            columns += _slice_columns(prefix, s, f"_rn <= {s.last_k or s.first_k}", num, num_stats, categories, binary, cat_stats)
         piece = _aggregate(top, key, columns, batch)
         out = piece if out is None else out.join(piece, key, "left")
     return out
@@ -246,10 +262,10 @@ def two_level(
     loans = (
         df.where(F.col(key).isNotNull() & F.col(subkey).isNotNull())
         .groupBy(key, subkey)
-        .agg(*[stat(how, F.col(c)).alias(name) for name, (c, how) in inner.items()])
+        .agg(*[stat(how, c).alias(name) for name, (c, how) in inner.items()])
     )
     return loans.groupBy(key).agg(
-        *[stat(how, F.col(name)).alias(_name(name, how)) for name in inner for how in outer]
+        *[stat(how, name).alias(_name(name, how)) for name in inner for how in outer]
     )
 
 

@@ -156,13 +156,15 @@ def trend_slope(spark, d):
 @query(
     "two_level_rollup",
     f"""WITH {INSTALMENTS}, loans AS (
-      SELECT id, loan, max(dpd) AS dpd_max, avg(dpd) AS dpd_mean, avg((dpd > 0)::INT) AS late_rate, count(*) AS n
+      SELECT id, loan, max(dpd / 9.7::DOUBLE) AS dpd_max, avg(dpd / 9.7::DOUBLE) AS dpd_mean, avg((dpd > 0)::INT) AS late_rate, count(*) AS n
       FROM instalments GROUP BY id, loan)
     SELECT id, {', '.join(sql_stats(c, f'PL_{c.upper()}', ['mean', 'max', 'std']) for c in ('dpd_max', 'dpd_mean', 'late_rate', 'n'))}
     FROM loans GROUP BY id""",
 )
 def two_level_rollup(spark, d):
-    rows = instalments(spark, d).withColumn("late", (F.col("dpd") > 0).cast("int"))
+    rows = instalments(spark, d).withColumns(
+        {"late": (F.col("dpd") > 0).cast("int"), "dpd": F.col("dpd") / F.lit(9.7)}
+    )
     inner = {
         "PL_DPD_MAX": ("dpd", "max"),
         "PL_DPD_MEAN": ("dpd", "mean"),
@@ -193,7 +195,7 @@ def rates_and_counts(spark, d):
     from rowloom.functions.expr import flag
 
     rates = {
-        "n": rollup.stat("size", F.lit(1)),
+        "n": "count(1)",
         "approval": F.avg(flag(F.col("status") == "F")),
         "large_rate": F.avg(flag(F.col("amount") > 300)),
     }

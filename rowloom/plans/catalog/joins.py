@@ -113,7 +113,7 @@ def anti_members(spark, d):
         FROM decisions GROUP BY id""",
 )
 def share_completed(spark, d):
-    hits = rollup.stat("size", F.lit(1), F.coalesce(F.col("status") == "F", F.lit(False)))
+    hits = rollup.stat("size", "id", "status = 'F'")
     return rollup.rollup(
         decisions(spark, d), "id", "", slices=(), extra={"rate": hits / F.count(F.lit(1))}
     ).select("id", r6("rate").alias("rate"))
