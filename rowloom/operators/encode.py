@@ -16,8 +16,8 @@ from rowloom.operators.ordered import dense_codes, medians
 from rowloom.operators.schema import categories
 
 
-def _fitted(table: DataFrame) -> DataFrame:
-    """Materialise, so that later joins see the true size."""
+def fitted(table: DataFrame) -> DataFrame:
+    """Materialise, so that later steps see the true size and do not recompute the input."""
     table = table.persist()
     table.count()
     return table
@@ -75,7 +75,7 @@ class Factorize(_Coded):
             .groupBy(F.col(self.col).alias("_value"))
             .agg(F.min(self.key).alias("_first"))
         )
-        self.table = _fitted(dense_codes(first, "_first", self.out).select("_value", self.out))
+        self.table = fitted(dense_codes(first, "_first", self.out).select("_value", self.out))
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ class LabelCode(_Coded):
 
     def fit(self, df: DataFrame) -> LabelCode:
         values = df.select(self._text().alias("_value")).distinct()
-        self.table = _fitted(dense_codes(values, "_value", self.out))
+        self.table = fitted(dense_codes(values, "_value", self.out))
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -113,7 +113,7 @@ class Frequency:
         filled = df.select(*[self._text(c).alias(c) for c in self.cols])
         counted = _by_column(filled, self.cols).groupBy("_name", "_value").agg(F.count(F.lit(1)).alias("_n"))
         total = df.select(F.count(F.lit(1))).scalar()
-        self.table = _fitted(counted.withColumn("_share", F.col("_n") / total))
+        self.table = fitted(counted.withColumn("_share", F.col("_n") / total))
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -133,13 +133,16 @@ class GroupStats:
         self.cats, self.nums, self.eps = list(cats), list(nums), eps
 
     def fit(self, df: DataFrame) -> GroupStats:
-        long = _by_column(df, self.cats, self.nums).where(F.col("_value").isNotNull())
+        # Several passes over a few narrow columns follow.
+        narrow = fitted(df.select(*self.cats, *self.nums))
+        long = _by_column(narrow, self.cats, self.nums).where(F.col("_value").isNotNull())
         moments = long.groupBy("_name", "_value").agg(
             *[F.avg(n).alias(f"{n}_mean") for n in self.nums],
             *[F.stddev_samp(n).alias(f"{n}_std") for n in self.nums],
         )
         middle = medians(long, self.nums, ["_name", "_value"])
-        self.table = _fitted(moments.join(middle, ["_name", "_value"], "left"))
+        self.table = fitted(moments.join(middle, ["_name", "_value"], "left"))
+        narrow.unpersist()
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -188,7 +191,7 @@ class TargetMean:
         views = own.select("_name", "_value", "_n", "_s", F.inline(F.concat("_own", nothing)))
         n, s = F.col("_n") - F.col("n"), F.col("_s") - F.col("s")
         smooth = (s + F.lit(float(self.smoothing)) * F.lit(self.overall)) / (n + F.lit(float(self.smoothing)))
-        self.table = _fitted(
+        self.table = fitted(
             views.where(n >= self.min_rows).select("_name", "_value", "_fold", smooth.alias("_te"))
         )
         return self
@@ -215,7 +218,9 @@ class Impute:
 
     def fit(self, df: DataFrame) -> Impute:
         if self.fill == "median":
-            row = medians(df, self.cols).first()
+            narrow = fitted(df.select(*self.cols))
+            row = medians(narrow, self.cols).first()
+            narrow.unpersist()
             self.values: Mapping = {c: row[f"{c}_median"] for c in self.cols}
         else:
             self.values = {c: self.fill for c in self.cols}
