@@ -71,10 +71,14 @@ def nullable(df: DataFrame, cols: Sequence[str]) -> list[str]:
 def feature_vector(df: DataFrame, cols: Sequence[str], flags: Sequence[str] = ()) -> DataFrame:
     """Add ``features``: the columns with missing values filled, then one flag per column of
     ``flags`` (1 where it is missing)."""
-    filled = {f"_f_{c}": F.coalesce(E.blank_inf(F.col(c).cast("double")), F.lit(MISSING)) for c in cols}
-    marks = {f"_m_{c}": F.col(c).isNull().cast("double") for c in flags}
-    wide = df.withColumns({**filled, **marks})
-    inputs = [*filled, *marks]
+    filled = [
+        f"coalesce(CASE WHEN abs(cast(`{c}` AS double)) < double('infinity') THEN cast(`{c}` AS double) END, {MISSING}D)"
+        f" AS `_f_{c}`"
+        for c in cols
+    ]
+    marks = [f"cast(`{c}` IS NULL AS double) AS `_m_{c}`" for c in flags]
+    inputs = [f"_f_{c}" for c in cols] + [f"_m_{c}" for c in flags]
+    wide = df.selectExpr("*", *filled, *marks)
     return VectorAssembler(inputCols=inputs, outputCol="features").transform(wide).drop(*inputs)
 
 

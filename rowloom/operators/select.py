@@ -109,7 +109,7 @@ def split_counts(model, features: Sequence[str]) -> DataFrame:
 
 
 def _folded(df: DataFrame, key: str, label: str, k: int, seed: int) -> DataFrame:
-    return df.where(F.col(label).isNotNull()).join(stratified(df, key, label, k, seed).select(key, "fold"), key)
+    return df.drop("fold").where(F.col(label).isNotNull()).join(stratified(df, key, label, k, seed).select(key, "fold"), key)
 
 
 def gain_importance(
