@@ -29,9 +29,13 @@ def model_matrix(
     """
     keep = [c for c in (key, label, "fold") if c in df.columns]
     numeric, text = schema.column_classes(df.drop(*keep))
-    for c in text:
-        step = encode.LabelCode(c, "_code") if coded == "label" else encode.Factorize(c, key, "_code")
-        df = step.fit(df).transform(df).drop(c).withColumnRenamed("_code", c)
+    if text:
+        # Coded on a narrow copy, so that the wide table is joined once and not per column.
+        narrow = df.select(key, *text)
+        for c in text:
+            step = encode.LabelCode(c, "_code") if coded == "label" else encode.Factorize(c, key, "_code")
+            narrow = step.fit(narrow).transform(narrow).drop(c).withColumnRenamed("_code", c)
+        df = df.drop(*text).join(narrow, key)
     floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float") and f.name in numeric]
     df = df.withColumns({c: blank_inf(c) for c in floats}) if floats else df
     body = schema.clean_names(df.select(*numeric, *text), upper=False)

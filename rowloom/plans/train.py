@@ -14,7 +14,7 @@ from rowloom.operators.assemble import join_features
 from rowloom.plans import credit
 from rowloom.plans.credit import EXT, KEY, LABEL
 from rowloom.plans.matrix import model_matrix
-from rowloom.session import checkpointed
+from rowloom.session import stored
 from rowloom.sources import io
 
 FILES = {
@@ -114,15 +114,22 @@ def _present(df: DataFrame, cols) -> list[str]:
 
 
 def encode6(df: DataFrame, s: Settings) -> DataFrame:
-    """Frequency, crosses, group ratios and target encoding of generation 6."""
+    """(key, new columns): frequency, crosses, group ratios and target encoding of generation 6."""
     text = schema.column_classes(df.drop(KEY, LABEL, "fold"))[1]
-    df = encode.Frequency(text).fit(df).transform(df)
     pairs = [p for p in CROSSES if set(p) <= set(df.columns)]
-    df = df.withColumns({"__".join(p): E.cross(list(p)) for p in pairs})
-    df = encode.fit_transform(df, encode.GroupStats(_present(df, GROUP_CATS), _present(df, GROUP_NUMS)))
-    return encode.fit_transform(
-        df, encode.TargetMean(_present(df, TARGET_CATS), LABEL, smoothing=s.smoothing, min_rows=s.min_rows)
+    cats, nums = _present(df, GROUP_CATS), _present(df, GROUP_NUMS)
+    single = _present(df, TARGET_CATS)
+    given = list(dict.fromkeys([KEY, LABEL, "fold", *text, *cats, *nums, *single]))
+    out = df.select(*given)
+    out = encode.Frequency(text).fit(out).transform(out)
+    out = out.withColumns({"__".join(p): E.cross(list(p)) for p in pairs})
+    targets = _present(out, TARGET_CATS)
+    out = encode.fit_transform(
+        out,
+        encode.GroupStats(cats, nums),
+        encode.TargetMean(targets, LABEL, smoothing=s.smoothing, min_rows=s.min_rows),
     )
+    return out.drop(*[c for c in given if c != KEY])
 
 
 def submodel_tables(tables: Mapping[str, DataFrame], base: DataFrame, s: Settings) -> list[DataFrame]:
@@ -144,11 +151,6 @@ def submodel_tables(tables: Mapping[str, DataFrame], base: DataFrame, s: Setting
     return out
 
 
-def _knn(df: DataFrame, cols, s: Settings, ks, **how) -> DataFrame:
-    extra = knn.target_mean(df, KEY, cols, LABEL, ks=ks, **how)
-    return df.join(extra, KEY, "left")
-
-
 def run(tables: Mapping[str, DataFrame], generation: str, s: Settings | None = None) -> Result:
     s = s or Settings()
     return _run6(tables, s) if generation == "6" else _run_early(tables, generation, s)
@@ -160,12 +162,17 @@ def _run_early(tables: Mapping[str, DataFrame], generation: str, s: Settings) ->
         tables = {**tables, "application": _predicted_sources(base, s)}
     df = credit.build_dataset(tables, generation)
     text = schema.column_classes(df.drop(KEY, LABEL))[1]
-    # Everything below reads this wide table several times.
-    df = checkpointed(encode.OneHot(text).fit(df).transform(df)) if text else checkpointed(df)
-    df = folds.with_folds(df, KEY, LABEL, s.folds, s.seed)
-    near = _knn(df, [*EXT, "APP_CREDIT_ANNUITY_RATIO"], s, s.knn, fill="median", test="all")
-    names = {f"KNN_TARGET_{k}": "NEIGHBORS_TARGET_MEAN" for k in s.knn[:1]}
-    df = schema.clean_names(near.withColumnsRenamed(names)).withColumnRenamed("FOLD", "fold")
+    if text:
+        df = encode.OneHot(text).fit(df).transform(df)
+    # The wide table is written once; every later step scans the columns it needs.
+    wide = stored(df, "wide")
+    placed = folds.stratified(wide, KEY, LABEL, s.folds, s.seed).select(KEY, "fold")
+    near_cols = [*EXT, "APP_CREDIT_ANNUITY_RATIO"]
+    folded = wide.select(KEY, LABEL, *near_cols).join(placed, KEY, "left")
+    near = knn.target_mean(folded, KEY, near_cols, LABEL, ks=s.knn, fill="median", test="all", name="NEIGHBORS")
+    near = near.select(KEY, F.col(f"NEIGHBORS_{s.knn[0]}").alias("NEIGHBORS_TARGET_MEAN"))
+    df = schema.clean_names(join_features(wide, [near], KEY)).join(placed, KEY, "left")
+    df = stored(df, "matrix")
     features = [c for c in df.columns if c not in (KEY, LABEL, "fold")]
     if generation in ("4", "5") and len(features) > s.max_features:
         must = [c for c in features if c == "NEIGHBORS_TARGET_MEAN" or c.startswith("APP_EXT_SOURCE")]
@@ -175,7 +182,7 @@ def _run_early(tables: Mapping[str, DataFrame], generation: str, s: Settings) ->
     makers = oof.families(s.seed, s.trees)
     if generation in ("1", "1v2"):
         makers.pop("logistic")
-    scored = checkpointed(oof.oof_fit(df, KEY, features, LABEL, makers, k=s.folds))
+    scored = stored(oof.oof_fit(df, KEY, features, LABEL, makers, k=s.folds))
     weights = FIXED_WEIGHTS.get(generation)
     names = list(makers)
     if weights is None:
@@ -199,11 +206,16 @@ def _predicted_sources(base: DataFrame, s: Settings) -> DataFrame:
 def _run6(tables: Mapping[str, DataFrame], s: Settings) -> Result:
     df = credit.build_dataset(tables, "6")
     df = join_features(df, submodel_tables(tables, df.select(KEY, LABEL), s), KEY)
-    df = folds.with_folds(checkpointed(df), KEY, LABEL, s.folds, s.seed)
-    df = encode6(df, s)
-    df = _knn(df, [*EXT, "CREDIT_ANNUITY_RATIO"], s, s.knn6, fill=-999, test="fold_avg")
-    matrix = model_matrix(checkpointed(df), KEY, LABEL, sample=s.corr_sample)
-    wide = checkpointed(matrix.frame)
+    wide = stored(df, "wide")
+    placed = folds.stratified(wide, KEY, LABEL, s.folds, s.seed).select(KEY, "fold")
+    folded = stored(wide.join(placed, KEY, "left"), "folded")
+    near_cols = [*EXT, "CREDIT_ANNUITY_RATIO"]
+    near = knn.target_mean(
+        folded.select(KEY, LABEL, "fold", *near_cols), KEY, near_cols, LABEL, ks=s.knn6, fill=-999, test="fold_avg"
+    )
+    df = stored(join_features(folded, [stored(encode6(folded, s), "encoded"), near], KEY), "encoded_wide")
+    matrix = model_matrix(df, KEY, LABEL, sample=s.corr_sample)
+    wide = stored(matrix.frame, "matrix")
     shadow = select.null_importance(wide, KEY, matrix.features, LABEL, runs=s.null_runs, sample=s.null_sample, seed=s.seed)
     kept = {r["feature"] for r in select.keep_rule(shadow).where("keep = 1").collect()}
     features = [c for c in matrix.features if c in kept] or matrix.features
@@ -217,7 +229,7 @@ def _run6(tables: Mapping[str, DataFrame], s: Settings) -> Result:
     averaged = oof.seed_average(
         wide, KEY, lists["no_prefix"], LABEL, lambda seed: oof.gbt(seed, s.trees, 0.1, 6), s.seeds, s.folds
     )
-    scored = checkpointed(
+    scored = stored(
         scored.join(top.select(KEY, "gbt_top"), KEY).join(averaged.select(KEY, "seed_avg"), KEY)
     )
     names = [c for c in scored.columns if c not in (KEY, LABEL, "fold")]
@@ -225,7 +237,7 @@ def _run6(tables: Mapping[str, DataFrame], s: Settings) -> Result:
     stacked = oof.stack(
         scored.join(wide.select(KEY, *raw), KEY), KEY, names, LABEL, raw, k=s.folds
     )
-    scored = checkpointed(scored.join(stacked.select(KEY, "stack_lr"), KEY))
+    scored = stored(scored.join(stacked.select(KEY, "stack_lr"), KEY))
     names.append("stack_lr")
     weights, blend_auc = blend.capped_weights(scored, KEY, LABEL, names, rounds=s.blend_rounds)
     stack_auc = rank.auc(scored, LABEL, "stack_lr").first()["auc"]
@@ -248,7 +260,7 @@ def blend_files(spark: SparkSession, roots, table, out_dir: str, anchor: str = "
     """Discover prediction files, blend each candidate and write it; returns all blends."""
     found = io.discover(spark, roots, credit.PREDICTION_FILES, anchor).collect()
     wide = io.load_wide(spark, {r["key"]: r["path"] for r in found})
-    blends = checkpointed(blend.candidates(wide, KEY, table, anchor))
+    blends = stored(blend.candidates(wide, KEY, table, anchor))
     for (name,) in blends.select("candidate").distinct().collect():
         io.write_predictions(
             blends.where(F.col("candidate") == name).select(KEY, LABEL), f"{out_dir.rstrip('/')}/{name}.csv"

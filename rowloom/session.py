@@ -51,6 +51,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage is cut, and later steps scan
+    only the columns they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Catalyst's upper estimate of the output size; no job is run."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
