@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -28,6 +30,17 @@ def session(app: str = "rowloom", master: str | None = None, **conf) -> SparkSes
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if not getattr(context, "_rowloom_shipped", False):
+        home = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="rowloom-package-"), "rowloom")
+        context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(home), "rowloom"))
+        context._rowloom_shipped = True
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared folder; a private one only if the cluster names none."""
     context = spark.sparkContext
