@@ -117,7 +117,10 @@ def grid_auc(
         )
         for i, ws in enumerate(grid)
     ]
-    scored = df.where(F.col(label).isNotNull()).select(*by, label, F.inline(F.array(*cells)))
+    # Spread the narrow rows first: each grows into as many rows as the grid has vectors.
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    narrow = df.where(F.col(label).isNotNull()).select(*by, label, *cols).repartition(spread)
+    scored = narrow.select(*by, label, F.inline(F.array(*cells)))
     result = auc(scored, label, "_mix", [*by, "w_index"]).select(*by, "w_index", "auc")
     weights = [
         F.element_at(F.array(*[F.lit(float(ws[j])) for ws in grid]), F.col("w_index") + 1).alias(f"w_{c}")

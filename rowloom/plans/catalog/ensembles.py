@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowloom.operators import blend, rank
+from rowloom.operators.encode import fitted
 from rowloom.plans.catalog.aggregates import rounded
 from rowloom.plans.catalog.registry import MODELS, SCORES, query, r6, scores
 
@@ -117,7 +118,8 @@ _CAPPED = blend.simplex_grid(3, 5, 0.6)
 )
 def constrained_rank_blend(spark, d):
     s = scores(spark, d)
-    ranks = rank.rank_norm(s, "id", MODELS).join(s.select("id", "target"), "id")
+    # The search reads the ranks several times.
+    ranks = fitted(rank.rank_norm(s, "id", MODELS).join(s.select("id", "target"), "id"))
     return rounded(blend.best_of(blend.grid_auc(ranks, "target", MODELS, _CAPPED)))
 
 
