@@ -155,8 +155,9 @@ _DIST = " + ".join(f"(q.z{i} - p.z{i}) * (q.z{i} - p.z{i})" for i in range(4))
 
 
 def _near(k: int) -> str:
-    """Mean label of the k nearest; ties at the last distance share the places that are left."""
-    return f"""t{k} AS (SELECT id, leave, sum(s * least(n, {k} - before) / n) / {k} AS v FROM cum WHERE before < {k} GROUP BY id, leave)"""
+    """Mean label of the k nearest (of all, if there are fewer); ties at the last distance share
+    the places that are left."""
+    return f"""t{k} AS (SELECT id, leave, sum(s * least(n, {k} - before) / n) / sum(least(n, {k} - before)) AS v FROM cum WHERE before < {k} GROUP BY id, leave)"""
 
 
 @query(
