@@ -104,8 +104,8 @@ def phrase_matches(index: DataFrame, phrases: DataFrame) -> DataFrame:
     here = index.join(keys, "key", "left_semi")
     needed = complete.where("n > 2").select("id", "key", "start", "n", F.explode("rest").alias("t")).select("id", "key", "start", "n", (F.col("start") + F.col("t.offset")).alias("pos"), F.col("t.term").alias("term"))
     full = needed.join(here, ["key", "pos", "term"]).groupBy("id", "key", "start", "n").agg(F.count_distinct("pos").alias("found")).where("found = n - 2")
-    found = complete.where("n <= 2").select("id", "key", "start").union(full.select("id", "key", "start")).distinct()
-    return found.join(small(ranked.select("id", "phrase", "n"), width), "id").select("phrase", "n", "key", "start")
+    whole = complete.where("n <= 2").select("id", "key", "start").union(full.select("id", "key", "start")).distinct()
+    return whole.join(small(ranked.select("id", "phrase", "n"), width), "id").select("phrase", "n", "key", "start")
 
 
 def proximity_matches(index: DataFrame, phrases: DataFrame, reach: int) -> DataFrame:
@@ -129,18 +129,28 @@ def covered(matches: DataFrame) -> DataFrame:
     return matches.select("key", new.alias("new")).groupBy("key").agg(F.sum("new").cast("long").alias("n_hit"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(doc_id, key, n_words, n_hit, item_ids): every document with its hit words and the items found in it."""
-    docs = docs.select("doc_id", "text")
+def found(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(key, n_hit, item_ids) of the documents (doc_id, text) that hold a phrase of an item."""
     listed = stored(windows(items.select("item_id", "text"), size).select("item_id", "terms", F.array_join("terms", " ").alias("phrase")), "windows")
     phrases = listed.select("phrase", "terms").distinct()
     vocabulary = stored(phrases.select(F.explode("terms").alias("term")).distinct(), "vocabulary")
     index = stored(postings(docs, small(vocabulary, F.length("term"))), "postings")
-    found = stored(phrase_matches(index, phrases), "matches")
+    matches = stored(phrase_matches(index, phrases), "matches")
     holders = small(listed.select("phrase", "item_id").distinct(), F.length("phrase"))
-    ids = found.select("key", "phrase").distinct().join(holders, "phrase").groupBy("key").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
-    hits = covered(found.select("key", "start", "n").distinct()).join(ids, "key", "left")
+    ids = matches.select("key", "phrase").distinct().join(holders, "phrase").groupBy("key").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
+    return stored(covered(matches.select("key", "start", "n").distinct()).join(ids, "key", "left"), "hits")
+
+
+def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(doc_id, key, n_words, n_hit, item_ids): every document with its hit words and the items found in it."""
+    docs = docs.select("doc_id", "text")
     sizes = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), n_words(F.col("text")).alias("n_words"))
-    return sizes.join(small(stored(hits, "hits")), "key", "left").select(
+    return sizes.join(small(found(docs, items, size)), "key", "left").select(
         "doc_id", "key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``docs`` without the documents that hold a phrase of an item."""
+    hit = small(found(docs.select("doc_id", "text"), items, size).select(F.col("key").alias("__key")))
+    return docs.join(hit, F.xxhash64(docs["doc_id"], docs["text"]) == F.col("__key"), "left_anti")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rowloom.llm.queries import benchmarks, chats, duplicates, encoding, linededup, quality
+from rowloom.llm.queries import archives, benchmarks, chats, duplicates, encoding, linededup, models, quality
 
-_MODULES = [benchmarks, chats, duplicates, encoding, linededup, quality]
+_MODULES = [archives, benchmarks, chats, duplicates, encoding, linededup, models, quality]
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}

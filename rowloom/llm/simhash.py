@@ -166,3 +166,14 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     roots = components(links(nodes.where("rep IS NOT NULL")))
     named = nodes.join(roots, nodes["rep"] == roots["node"], "left").select(F.col("fp").alias("__fp"), F.coalesce("root", "rep").alias("component_id"))
     return marked.join(named, F.col("fp") == F.col("__fp")).select(F.col("id").alias(id), "fp", "component_id")
+
+
+def representatives(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each near-duplicate group, that with the smallest id. Rows alike in id
+    and text stay once. Documents with a null id, which no other document can stand for, stay."""
+    named = stored(near_duplicates(docs, id, text), "named")
+    keep = named.where(F.col(id) == F.col("component_id"))
+    kept = docs.join(keep.select(id, "fp").distinct().select(F.col(id).alias("__id")), F.col(id) == F.col("__id"), "left_semi")
+    if keep.groupBy(id, "fp").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates([id, text])
+    return kept.unionByName(docs.where(F.col(id).isNull()))
