@@ -52,7 +52,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
 
 def _concentration(s: str, df: str, n: str, p: str) -> F.Column:
     """Beta concentration from a weighted sum of squares ``s`` with ``df`` degrees of freedom."""
-    rho = F.expr(f"({s} - ({df}) * ({p}) * (1 - ({p}))) / (({p}) * (1 - ({p})) * ({n} - ({df})))")
+    rho = F.expr(f"try_divide({s} - ({df}) * ({p}) * (1 - ({p})), ({p}) * (1 - ({p})) * ({n} - ({df})))")
     return 1 / F.greatest(F.least(F.coalesce(rho, F.lit(1e-6)), F.lit(0.999)), F.lit(1e-6)) - 1
 
 
@@ -79,7 +79,7 @@ def site_posteriors(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     prior = total.withColumn("prior", (F.coalesce("k", F.lit(0)) + 0.5) / (F.coalesce("n", F.lit(0)) + 1)).select(
         "prior",
-        _concentration("(hk2 - k * k / n)", "n_hosts - 1", "(n - hn2 / n)", "prior").alias("host_strength"),
+        _concentration("(hk2 - try_divide(k * k, n))", "n_hosts - 1", "(n - try_divide(hn2, n))", "prior").alias("host_strength"),
         _concentration("within", "within_df", "within_n", "prior").alias("path_strength"),
     )
     sites = paths.join(hosts.select("host", "host_n", "host_k"), paths["host"].eqNullSafe(hosts["host"])).select(paths["host"], "path", "path_n", "path_k", "host_n", "host_k")
