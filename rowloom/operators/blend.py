@@ -154,17 +154,32 @@ def _neighbours(center: Sequence[float], step: float, cap: float) -> list[tuple[
 
 
 def capped_weights(
-    df: DataFrame, key: str, label: str, cols: Sequence[str], cap: float = 0.6, parts: int = 5, rounds: int = 4
+    df: DataFrame, key: str, label: str, cols: Sequence[str], cap: float = 0.6, parts: int = 5, step: float = 0.0125
 ) -> tuple[dict[str, float], float]:
-    """Rank-blend weights in [0, cap] with sum 1: a coarse simplex grid, then local steps that
-    halve. Each round grades its whole grid in one job; only the best row reaches the driver."""
+    """Rank-blend weights in [0, cap] with sum 1: a coarse simplex grid, then local moves.
+
+    A move that helps is followed by moves of the same size; when none helps, the size halves,
+    until no neighbour at the smallest size, at most ``step``, is better. Each round grades its
+    whole grid in one job; only the best row reaches the driver. ``parts`` grows until the grid
+    has a vector within the cap; there is none at all if ``cap * len(cols) < 1``.
+    """
+    if cap * len(cols) < 1 - 1e-9:
+        raise ValueError(f"{len(cols)} weights of at most {cap} cannot sum to 1")
+    while not (grid := simplex_grid(len(cols), parts, cap)):
+        parts += 1
     ranks = rank_norm(df.where(F.col(label).isNotNull()), key, cols).join(df.select(key, label), key).persist()
-    grid, step, best, score = simplex_grid(len(cols), parts, cap), 0.5 / parts, None, -1.0
-    for _ in range(rounds):
+    size, best, score = 1.0 / parts, None, -1.0
+    while True:
         top = best_of(grid_auc(ranks, label, cols, grid)).first()
         if best is None or top["auc"] > score:
             best, score = tuple(top[f"w_{c}"] for c in cols), top["auc"]
-        grid, step = _neighbours(best, step, cap), step / 2
+        elif size <= step:
+            break
+        else:
+            size /= 2
+        grid = _neighbours(best, size, cap)
+        if len(grid) == 1 and size <= step:
+            break
     ranks.unpersist()
     return dict(zip(cols, best)), float(score)
 

@@ -33,13 +33,15 @@ def skew_join(
     """Join many rows to a table with one row per key (left, inner, left_semi or left_anti).
 
     A small ``one`` is broadcast by Spark's size rule. Otherwise both sides are shuffled on the
-    key, and the rows of hot keys are spread over SALTS reducers, to which the single matching
-    row is copied.
+    key and Spark's adaptive execution splits the partitions of hot keys from the sizes it has
+    measured, so the large side is read once. A caller who already has a list of hot keys (at most
+    HOT_SHARE) gets their rows spread over SALTS reducers, to which the single matching row is
+    copied.
     """
     keys = list(keys)
-    if is_planned_small(one):
+    if hot is None or is_planned_small(one):
         return many.join(one, keys, how)
-    marked = (hot if hot is not None else hot_keys(many, keys)).withColumn("_hot", F.lit(True))
+    marked = hot.withColumn("_hot", F.lit(True))
     spread = F.pmod(F.xxhash64(*many.columns) + F.spark_partition_id(), F.lit(SALTS)).cast("int")
     left = many.join(F.broadcast(marked), keys, "left").withColumn(
         "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))

@@ -62,9 +62,13 @@ def families(seed: int = 42, trees: int = 60) -> dict[str, Maker]:
     }
 
 
+def _absent(c: str) -> Column:
+    return F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+
+
 def nullable(df: DataFrame, cols: Sequence[str]) -> list[str]:
     """Columns with missing values, in one pass."""
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    row = df.agg(*[F.count_if(_absent(c)).alias(c) for c in cols]).first()
     return [c for c in cols if row[c]]
 
 
@@ -76,7 +80,7 @@ def feature_vector(df: DataFrame, cols: Sequence[str], flags: Sequence[str] = ()
         f" AS `_f_{c}`"
         for c in cols
     ]
-    marks = [f"cast(`{c}` IS NULL AS double) AS `_m_{c}`" for c in flags]
+    marks = [f"cast(`{c}` IS NULL OR isnan(cast(`{c}` AS double)) AS double) AS `_m_{c}`" for c in flags]
     inputs = [f"_f_{c}" for c in cols] + [f"_m_{c}" for c in flags]
     wide = df.selectExpr("*", *filled, *marks)
     return VectorAssembler(inputCols=inputs, outputCol="features").transform(wide).drop(*inputs)
@@ -103,10 +107,12 @@ def fit_folds(rows: DataFrame, make: Maker, fold: str, k: int) -> list:
 
 
 def score_folds(rows: DataFrame, models: Sequence, fold: str, out: str) -> DataFrame:
-    """One pass: a row of fold f gets model f, a row without a fold the mean of all models."""
+    """One pass: a row of fold f gets model f, a row without a fold the mean of all models. The
+    score of a regressor is its prediction."""
     scored = rows
     for f, model in enumerate(models):
-        scored = model.transform(scored).withColumn(f"_p{f}", positive())
+        scored = model.transform(scored)
+        scored = scored.withColumn(f"_p{f}", positive() if "probability" in scored.columns else F.col("prediction"))
         scored = scored.drop("rawPrediction", "probability", "prediction")
     ps = [F.col(f"_p{f}") for f in range(len(models))]
     own = F.coalesce(*[F.when(F.col(fold) == f, p) for f, p in enumerate(ps)])
@@ -123,10 +129,11 @@ def oof_fit(
     makers: Mapping[str, Maker],
     fold: str = "fold",
     k: int = 5,
+    flags: bool = True,
 ) -> DataFrame:
     """(key, label, fold, <model>...): out-of-fold scores of labelled rows, fold-mean scores of
-    unlabelled rows, one column per model."""
-    rows = feature_vector(df, features, nullable(df, features)).select(
+    unlabelled rows, one column per model. ``flags`` adds a column per input with missing values."""
+    rows = feature_vector(df, features, nullable(df, features) if flags else ()).select(
         key, F.col(label).cast("double").alias("label"), F.col(fold).alias("_fold"), "features"
     ).persist()
     train = rows.where(F.col("label").isNotNull())
@@ -185,7 +192,7 @@ def stack(
             maxIter=200,
         )
 
-    return oof_fit(folded, key, [*scores, *raw], label, {out: make}, k=k)
+    return oof_fit(folded, key, [*scores, *raw], label, {out: make}, k=k, flags=False)
 
 
 def child_submodel(
@@ -230,15 +237,14 @@ def predict_column(
     target: str,
     features: Sequence[str],
     prefix: str = "APP",
-    min_rows: int = 5000,
     make: Callable[[], Estimator] | None = None,
 ) -> DataFrame:
     """Add a prediction of ``target`` from the other columns, the residual (0 where the target
     is missing) and a missing flag. The model sees all rows that have the target, their own
-    included. With fewer than ``min_rows`` such rows the frame is returned as it is."""
-    known = df.where(F.col(target).isNotNull())
-    if known.limit(min_rows).count() < min_rows:
-        return df
+    included. The columns are always there; the prediction is NULL if no row has the target."""
+    if df.where(F.col(target).isNotNull()).limit(1).count() == 0:
+        empty = df.withColumn(f"{prefix}_{target}_PRED", F.lit(None).cast("double"))
+        return residuals(empty, target, prefix)
     text = [c for c in features if c in column_classes(df)[1]]
     coded = df
     for c in text:

@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 from rowloom.functions import expr as E
 from rowloom.operators.schema import clean_name
 
-#: Aggregates per groupBy; wider ones leave whole-stage code generation.
-BATCH = 200
-
 NUM_STATS = ("mean", "max", "min", "sum", "var")
 CAT_STATS = ("mean", "sum")
 
@@ -168,18 +165,9 @@ def _slice_columns(prefix, s: Slice, cond, num, num_stats, categories, binary, c
     return out
 
 
-def _aggregate(df: DataFrame, key: str, columns: Sequence[_Aggregate], batch: int) -> DataFrame:
-    """One groupBy per batch on the same key; batches join without another shuffle."""
-    columns = sorted(columns, key=lambda c: c.source)  # stable: a batch reads few columns
-    pieces = [columns[i : i + batch] for i in range(0, len(columns), batch)] or [[]]
-    frames = [
-        df.groupBy(key).agg(*[c.column() for c in piece]) if piece else df.select(key).distinct()
-        for piece in pieces
-    ]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.join(frame, key)
-    return out
+def _aggregate(df: DataFrame, key: str, columns: Sequence[_Aggregate]) -> DataFrame:
+    """One groupBy, so one scan and one shuffle, however many columns."""
+    return df.groupBy(key).agg(*[c.column() for c in columns]) if columns else df.select(key).distinct()
 
 
 def ranked(df: DataFrame, key: str, order: Sequence[str], newest_first: bool, k: int) -> DataFrame:
@@ -202,7 +190,6 @@ def rollup(
     decays: Sequence[Decay] = (),
     trends: Sequence[Trend] = (),
     extra: Mapping[str, Column | str] | None = None,
-    batch: int = BATCH,
 ) -> DataFrame:
     """Roll child rows up to one row per ``key`` (rows without a key are left out).
 
@@ -225,17 +212,26 @@ def rollup(
     for name, value in (extra or {}).items():
         fused.append(_Aggregate(name, value))
 
-    out = _aggregate(rows, key, fused, batch) if fused or not by_rank else None
+    out = _aggregate(rows, key, fused) if fused or not by_rank else None
     for (order, newest), group in by_rank.items():
         top = ranked(rows, key, order, newest, max(s.last_k or s.first_k for s in group))
         columns: list[_Aggregate] = []
         for s in group:
             columns += _slice_columns(prefix, s, f"_rn <= {s.last_k or s.first_k}", num, num_stats, categories, binary, cat_stats)
-        piece = _aggregate(top, key, columns, batch)
+        piece = _aggregate(top, key, columns)
         out = piece if out is None else out.join(piece, key, "left")
     return out
 
 
+def share_rows(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """(key, column, value, share): the shares of all values of category columns in long form, for
+    columns with too many values to become output columns."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    counted = df.where(F.col(key).isNotNull()).select(key, F.inline(cells)).groupBy(key, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    rows = counted.groupBy(key, "column").agg(F.sum("n").alias("rows"))
+    return counted.join(rows, [key, "column"]).select(key, "column", "value", (F.col("n") / F.col("rows")).alias("share"))
+
+
 def latest_values(df: DataFrame, key: str, cols: Sequence[str], order: Sequence[str], prefix: str) -> DataFrame:
     """Newest non-null value of each column, column by column."""
     rows = df.where(F.col(key).isNotNull())

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Most values a fitted category list may hold; each becomes output columns.
+#: Most values the list of one column may hold; each becomes output columns.
 MAX_CATEGORIES = 10_000
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -57,16 +57,21 @@ def binary_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[str
     return [c for c in cols if other[c] == 0]
 
 
-def categories(df: DataFrame, cols: Sequence[str], with_null: bool = True) -> dict[str, list]:
-    """Distinct values per category column, in text order; a list longer than the schema can
-    bear is an error, not a cut."""
+def categories(df: DataFrame, cols: Sequence[str], with_null: bool = True, most: int = MAX_CATEGORIES) -> dict[str, list]:
+    """Distinct values per category column, in text order; a column with more than ``most`` values,
+    more than a schema can bear, is an error, not a cut (``rollup.share_rows`` has no such bound)."""
     if not cols:
         return {}
     cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in cols])
     found = df.select(F.inline(cells)).where(F.col("value").isNotNull()).distinct()
-    rows = found.limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {list(cols)}; use a coded encoder")
+    found = found.persist()
+    sizes = {r["name"]: r["n"] for r in found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    wide = sorted(c for c, n in sizes.items() if n > most)
+    if wide:
+        found.unpersist()
+        raise ValueError(f"more than {most} categories in {wide}; use a coded encoder or share_rows")
+    rows = found.collect()
+    found.unpersist()
     tail = [None] if with_null else []
     return {c: sorted(r["value"] for r in rows if r["name"] == c) + tail for c in cols}
 

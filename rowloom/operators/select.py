@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.operators.folds import positions, sample_n, stratified
@@ -16,13 +16,26 @@ from rowloom.session import scratch_path
 
 #: Columns per block of the correlation partial sums.
 BLOCK = 256
+#: Groups in which the sums of one block pair are added first.
+LANES = 64
+
+
+def _added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Add up the sums of equal block pairs, one row at a time."""
+    total: dict[tuple[int, int], np.ndarray] = {}
+    for frame in frames:
+        for a, b, raw in zip(frame["a"], frame["b"], frame["sums"]):
+            part = np.frombuffer(raw)
+            total[a, b] = total[a, b] + part if (a, b) in total else part
+    for (a, b), part in total.items():
+        yield pd.DataFrame({"a": [a], "b": [b], "sums": [part.tobytes()]})
 
 
 def pair_correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(i, j, r) for i < j: pairwise-complete Pearson correlation of many columns.
+    """(i, j, r) for i < j: pairwise-complete Pearson correlation of many columns, over all rows.
 
-    Each task reduces its rows to five sums per column pair, so the shuffle does not depend on
-    the number of rows.
+    Each task reduces its rows to one dense row of six sums per pair of column blocks. These are
+    added in two steps, first in LANES groups per block pair, so that no task adds all of them.
     """
     means = df.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in cols]).first()
     shift = np.array([means[c] for c in cols])
@@ -38,39 +51,35 @@ def pair_correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             for a in range(0, len(names), BLOCK):
                 for b in range(a, len(names), BLOCK):
                     xa, ma, xb, mb = x[:, a : a + BLOCK], m[:, a : a + BLOCK], x[:, b : b + BLOCK], m[:, b : b + BLOCK]
-                    part = np.stack(
-                        [ma.T @ mb, xa.T @ mb, ma.T @ xb, (xa**2).T @ mb, ma.T @ (xb**2), xa.T @ xb]
-                    )
+                    part = np.stack([ma.T @ mb, xa.T @ mb, ma.T @ xb, (xa**2).T @ mb, ma.T @ (xb**2), xa.T @ xb])
                     total[a, b] = total[a, b] + part if (a, b) in total else part
         for (a, b), part in total.items():
-            i, j = np.meshgrid(np.arange(part.shape[1]) + a, np.arange(part.shape[2]) + b, indexing="ij")
+            yield pd.DataFrame({"a": [a], "b": [b], "sums": [part.tobytes()]})
+
+    def correlations(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _added(frames):
+            a, b = int(frame["a"][0]), int(frame["b"][0])
+            shape = (6, min(BLOCK, len(names) - a), min(BLOCK, len(names) - b))
+            n, sx, sy, sxx, syy, sxy = np.frombuffer(frame["sums"][0]).reshape(shape)
+            i, j = np.meshgrid(np.arange(shape[1]) + a, np.arange(shape[2]) + b, indexing="ij")
+            vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+            sound = (n > 1) & (vx > 0) & (vy > 0)
+            r = np.where(sound, (n * sxy - sx * sy) / np.sqrt(np.where(sound, vx * vy, 1.0)), np.nan)
             keep = i < j
-            yield pd.DataFrame(
-                {
-                    "i": i[keep],
-                    "j": j[keep],
-                    **{f"s{q}": part[q][keep] for q in range(6)},
-                }
-            )
-
-    partial = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(
-        sums, "i long, j long, s0 double, s1 double, s2 double, s3 double, s4 double, s5 double"
-    )
-    summed = partial.groupBy("i", "j").agg(*[F.sum(f"s{q}").alias(f"s{q}") for q in range(6)])
-    n, sx, sy, sxx, syy, sxy = (F.col(f"s{q}") for q in range(6))
-    vx, vy = n * sxx - sx * sx, n * syy - sy * sy
-    return summed.select(
-        "i", "j", F.when((n > 1) & (vx > 0) & (vy > 0), (n * sxy - sx * sy) / F.sqrt(vx * vy)).alias("r")
-    )
+            yield pd.DataFrame({"i": i[keep], "j": j[keep], "r": r[keep]})
 
+    block = "a int, b int, sums binary"
+    partial = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(sums, block)
+    lane = F.pmod(F.spark_partition_id(), F.lit(LANES))
+    merged = partial.withColumn("lane", lane).repartition("a", "b", "lane").select("a", "b", "sums").mapInPandas(_added, block)
+    pairs = merged.repartition("a", "b").mapInPandas(correlations, "i long, j long, r double")
+    return pairs.select("i", "j", F.when(~F.isnan("r"), F.col("r")).alias("r"))
 
-def correlated_columns(
-    df: DataFrame, cols: Sequence[str], limit: float = 0.985, key: str | None = None, sample: int | None = None
-) -> DataFrame:
+
+def correlated_columns(df: DataFrame, cols: Sequence[str], limit: float = 0.985) -> DataFrame:
     """(position, column): columns with an absolute correlation above ``limit`` to any earlier
-    column, itself dropped or not. ``sample`` draws that many rows first."""
-    rows = sample_n(df, key, sample) if sample else df
-    pairs = pair_correlations(rows, cols).where(F.abs("r") > limit)
+    column, itself dropped or not."""
+    pairs = pair_correlations(df, cols).where(F.abs("r") > limit)
     name = F.element_at(F.array(*[F.lit(c) for c in cols]), (F.col("position") + 1).cast("int"))
     return (
         pairs.groupBy(F.col("j").alias("position"))
@@ -79,11 +88,9 @@ def correlated_columns(
     )
 
 
-def corr_filter(
-    df: DataFrame, cols: Sequence[str], limit: float = 0.985, key: str | None = None, sample: int | None = 30_000
-) -> list[str]:
-    """The columns that stay."""
-    dropped = {r["column"] for r in correlated_columns(df, cols, limit, key, sample).collect()}
+def corr_filter(df: DataFrame, cols: Sequence[str], limit: float = 0.985) -> list[str]:
+    """The columns that stay, judged on all rows."""
+    dropped = {r["column"] for r in correlated_columns(df, cols, limit).collect()}
     return [c for c in cols if c not in dropped]
 
 
@@ -133,14 +140,17 @@ def gain_importance(
 def top_importance(
     importance: DataFrame, n: int = 900, must_keep: Sequence[str] = ()
 ) -> DataFrame:
-    """(feature, importance) of the n best with positive gain, and the must-keep columns after
-    them; with n or fewer features all stay."""
-    all_few = importance.count() <= n
-    ranked = importance if all_few else importance.where("importance > 0").orderBy(F.desc("importance"), "feature").limit(n)
-    if ranked.isEmpty():
-        ranked = importance.orderBy(F.desc("importance"), "feature").limit(n)
-    kept = importance.where(F.col("feature").isin(list(must_keep))) if must_keep else importance.limit(0)
-    return ranked.unionByName(kept).groupBy("feature").agg(F.max("importance").alias("importance"))
+    """(position, feature, importance): the n best with positive gain in falling order, then the
+    must-keep columns that are not among them, in the order given."""
+    best = importance.where("importance > 0").orderBy(F.desc("importance"), "feature").limit(n)
+    turn = F.array_position(F.array(*[F.lit(c) for c in must_keep]).cast("array<string>"), F.col("feature"))
+    kept = importance.where(turn > 0).join(best.select("feature"), "feature", "left_anti")
+    ordered = Window.orderBy("_late", "_turn", F.desc("importance"), "feature")  # at most n rows and the must-keeps
+    return (
+        best.select("feature", "importance", F.lit(0).alias("_late"), F.lit(0).cast("long").alias("_turn"))
+        .union(kept.select("feature", "importance", F.lit(1), turn))
+        .select((F.row_number().over(ordered) - 1).alias("position"), "feature", "importance")
+    )
 
 
 def shuffled_labels(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
@@ -170,7 +180,10 @@ def null_importance(
     df: DataFrame, key: str, features: Sequence[str], label: str, make: Callable[[int], Estimator] | None = None,
     runs: int = 5, k: int = 3, sample: int = 60_000, seed: int = 42,
 ) -> DataFrame:
-    """(feature, run, importance): run -1 has the true labels, the others shuffled ones."""
+    """(feature, run, importance): run -1 has the true labels, the others shuffled ones.
+
+    The classifiers are fitted on a sample of at most ``sample`` labelled rows.
+    """
     make = make or (lambda s: gbt(s, trees=40, rate=0.05))
     rows = sample_n(df.where(F.col(label).isNotNull()), key, sample, seed)
     out = _split_importance(rows, key, features, label, lambda: make(seed), k, seed).withColumn("run", F.lit(-1))

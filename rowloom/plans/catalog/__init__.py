@@ -6,6 +6,7 @@ from rowloom.plans.catalog import (  # noqa: F401
     ensembles,
     joins,
     models,
+    preset_sums,
     presets,
     projections,
     sources,

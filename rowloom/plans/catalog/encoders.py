@@ -169,7 +169,7 @@ def _near(k: int) -> str:
     SELECT id, round(t50.v, 6) AS KNN_TARGET_50, round(t200.v, 6) AS KNN_TARGET_200 FROM t50 JOIN t200 USING (id)""",
 )
 def knn_target_mean(spark, d):
-    return rounded(knn.target_mean(folded(spark, d), "id", _KNN, "target", ks=(50, 200)))
+    return rounded(knn.target_mean(folded(spark, d), "id", _KNN, "target", ks=(50, 200), digits=6))
 
 
 @query(
@@ -184,7 +184,7 @@ def knn_target_mean(spark, d):
     FROM t50 JOIN t200 USING (id, leave) GROUP BY id""",
 )
 def knn_target_fold_avg(spark, d):
-    return rounded(knn.target_mean(folded(spark, d), "id", _KNN, "target", ks=(50, 200), fill=-999, test="fold_avg"))
+    return rounded(knn.target_mean(folded(spark, d), "id", _KNN, "target", ks=(50, 200), fill=-999, test="fold_avg", digits=6))
 
 
 _CORR = ["c0", "c1", "c2", "c3", "c4"]

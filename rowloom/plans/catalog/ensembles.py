@@ -127,7 +127,7 @@ def constrained_rank_blend(spark, d):
 def constrained_rank_blend_refined(spark, d):
     """The same search with finer rounds; returns the blended test scores."""
     s = scores(spark, d)
-    weights, _ = blend.capped_weights(s, "id", "target", MODELS, rounds=2)
+    weights, _ = blend.capped_weights(s, "id", "target", MODELS)
     return rounded(blend.blend(s, "id", weights, "rank"))
 
 

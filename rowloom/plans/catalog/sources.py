@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rowloom.functions import expr as E
 from rowloom.operators import assemble
 from rowloom.plans.catalog.registry import SCORES, query, r6, scores, table
-from rowloom.session import scratch_path
+from rowloom.session import scratch_path, stored
 from rowloom.sources import io
 
 _CUSTOMER = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
@@ -103,6 +103,16 @@ def top_n(spark, d):
     )
 
 
+@query("limit_rows_rules", "SELECT least(count(*), 1000) AS n, least(count(DISTINCT o_orderkey), 1000) AS n_distinct, 0::BIGINT AS strangers FROM orders")
+def limit_rows_rules(spark, d):
+    """The row cap gives that many different rows of the table."""
+    path = f"{d}/orders.parquet"
+    orders = spark.read.parquet(path)
+    rows = stored(io.scan(spark, path, orders.schema, limit=1000), "limited")
+    strangers = rows.join(orders, "o_orderkey", "left_anti").select(F.count("*")).scalar()
+    return rows.agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("n_distinct")).withColumn("strangers", strangers)
+
+
 @query("limit_rows")
 def limit_rows(spark, d):
     """The debug row cap of a scan."""

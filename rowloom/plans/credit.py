@@ -7,7 +7,7 @@ slices of a table have the same columns.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -561,8 +561,10 @@ def _child6(df: DataFrame, table: str, numeric: list[str], text: list[str]) -> D
     return out
 
 
-def build_dataset(tables: Mapping[str, DataFrame], generation: str) -> DataFrame:
-    """One wide row per applicant.
+def build_dataset(
+    tables: Mapping[str, DataFrame], generation: str, enrich: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """One wide row per applicant. ``enrich`` adds columns to the derived applicant table.
 
     ``tables`` has ``train`` and ``test`` (or one ``application`` with a nullable label) and
     any of bureau, bureau_balance, previous, pos, card, installments; absent ones are skipped.
@@ -572,6 +574,8 @@ def build_dataset(tables: Mapping[str, DataFrame], generation: str) -> DataFrame
     else:
         base = union_by_name(tables["train"], tables["test"])
     base = applicant_features(base, generation)
+    if enrich:
+        base = enrich(base)
     features = []
     for name in ("bureau", "previous", "pos", "installments", "card"):
         if name not in tables:

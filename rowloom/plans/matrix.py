@@ -20,15 +20,20 @@ class ModelMatrix:
 
 
 def model_matrix(
-    df: DataFrame, key: str, label: str, corr_limit: float = 0.985, sample: int = 30_000, coded: str = "label"
+    df: DataFrame, key: str, label: str, corr_limit: float = 0.985, coded: str = "label"
 ) -> ModelMatrix:
     """Code categories, blank infinities, clean names, drop constant and highly correlated
     columns (judged on labelled rows), and list the categorical columns that stay.
 
-    ``coded`` is ``label`` (text order) or ``factorize`` (first appearance).
+    ``coded`` is ``label`` (text order) or ``factorize`` (first appearance). Columns stay in their
+    order, which decides what the correlation filter keeps. A column that is neither a number nor
+    text is an error.
     """
     keep = [c for c in (key, label, "fold") if c in df.columns]
+    given = [c for c in df.columns if c not in keep]
     numeric, text = schema.column_classes(df.drop(*keep))
+    if len(numeric) + len(text) < len(given):
+        raise ValueError(f"neither numbers nor text: {[c for c in given if c not in {*numeric, *text}]}")
     if text:
         # Coded on a narrow copy, so that the wide table is joined once and not per column.
         narrow = df.select(key, *text)
@@ -38,12 +43,12 @@ def model_matrix(
         df = df.drop(*text).join(narrow, key)
     floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float") and f.name in numeric]
     df = df.withColumns({c: blank_inf(c) for c in floats}) if floats else df
-    body = schema.clean_names(df.select(*numeric, *text), upper=False)
-    renamed = dict(zip([*numeric, *text], body.columns))
+    body = schema.clean_names(df.select(*given), upper=False)
+    renamed = dict(zip(given, body.columns))
     df = df.select(*keep, *[F.col(c).alias(n) for c, n in renamed.items()])
     train = df.where(F.col(label).isNotNull())
     gone = set(schema.constant_columns(train.select(*renamed.values())))
     features = [c for c in renamed.values() if c not in gone]
-    features = corr_filter(train, features, corr_limit, key, sample)
-    categorical = [renamed[c] for c in text if renamed[c] in features]
+    features = corr_filter(train, features, corr_limit)
+    categorical = [renamed[c] for c in given if c in set(text) and renamed[c] in features]
     return ModelMatrix(df.select(*keep, *features), features, categorical)

@@ -79,21 +79,32 @@ class Settings:
     top_features: int = 400
     smoothing: float = 40.0
     min_rows: int = 80
-    residual_rows: int = 5000
     null_runs: int = 5
     null_sample: int = 60_000
-    corr_sample: int = 30_000
     seeds: tuple[int, ...] = (456, 789, 1234)
-    blend_rounds: int = 4
+    blend_step: float = 0.0125
 
 
 @dataclass
 class Result:
+    """``reports`` holds the tables of a run: AUC per model, rank correlations of the models, and
+    for searched weights the best ones per fold."""
+
     predictions: DataFrame
     oof_auc: float
     source: str
     weights: dict[str, float]
     features: list[str] = field(default_factory=list)
+    reports: dict[str, DataFrame] = field(default_factory=dict)
+
+
+def _reports(scored: DataFrame, names: list[str], grid: list | None = None) -> dict[str, DataFrame]:
+    known = scored.where(F.col(LABEL).isNotNull())
+    ranks = rank.rank_norm(known, KEY, names)
+    tables = {"auc": rank.auc_by_model(known, LABEL, names), "rank_correlation": rank.corr_matrix(ranks, names)}
+    if grid:
+        tables["fold_weights"] = blend.best_of(blend.grid_auc(known, LABEL, names, grid, ["fold"]), ["fold"])
+    return tables
 
 
 def load_tables(spark: SparkSession, data_dir: str, missing: str = "empty", limit: int | None = None):
@@ -157,10 +168,7 @@ def run(tables: Mapping[str, DataFrame], generation: str, s: Settings | None = N
 
 
 def _run_early(tables: Mapping[str, DataFrame], generation: str, s: Settings) -> Result:
-    if generation == "5":
-        base = tables["application"] if "application" in tables else credit.union_by_name(tables["train"], tables["test"])
-        tables = {**tables, "application": _predicted_sources(base, s)}
-    df = credit.build_dataset(tables, generation)
+    df = credit.build_dataset(tables, generation, _predicted_sources if generation == "5" else None)
     text = schema.column_classes(df.drop(KEY, LABEL))[1]
     if text:
         df = encode.OneHot(text).fit(df).transform(df)
@@ -174,7 +182,7 @@ def _run_early(tables: Mapping[str, DataFrame], generation: str, s: Settings) ->
     df = schema.clean_names(join_features(wide, [near], KEY)).join(placed, KEY, "left")
     df = stored(df, "matrix")
     features = [c for c in df.columns if c not in (KEY, LABEL, "fold")]
-    if generation in ("4", "5") and len(features) > s.max_features:
+    if generation in ("4", "5"):
         must = [c for c in features if c == "NEIGHBORS_TARGET_MEAN" or c.startswith("APP_EXT_SOURCE")]
         gains = select.gain_importance(df, KEY, features, LABEL, lambda: oof.gbt(s.seed, s.trees))
         kept = {r["feature"] for r in select.top_importance(gains, s.max_features, must).collect()}
@@ -185,6 +193,7 @@ def _run_early(tables: Mapping[str, DataFrame], generation: str, s: Settings) ->
     scored = stored(oof.oof_fit(df, KEY, features, LABEL, makers, k=s.folds))
     weights = FIXED_WEIGHTS.get(generation)
     names = list(makers)
+    grid = None
     if weights is None:
         grid = blend.triple_grid() if len(names) == 3 else blend.pair_grid()
         top = blend.best_of(blend.grid_auc(scored, LABEL, names, grid)).first()
@@ -192,14 +201,14 @@ def _run_early(tables: Mapping[str, DataFrame], generation: str, s: Settings) ->
     mixed = scored.select(KEY, LABEL, blend.mix(weights).alias("p"))
     score = rank.auc(mixed, LABEL, "p").first()["auc"]
     predictions = mixed.where(F.col(LABEL).isNull()).select(KEY, F.col("p").alias(LABEL))
-    return Result(predictions, score, "blend", weights, features)
+    return Result(predictions, score, "blend", weights, features, _reports(scored, names, grid))
 
 
-def _predicted_sources(base: DataFrame, s: Settings) -> DataFrame:
-    """External scores predicted from the other applicant columns."""
+def _predicted_sources(base: DataFrame) -> DataFrame:
+    """External scores predicted from the other applicant columns, the derived ones included."""
     inputs = [c for c in base.columns if c not in (KEY, LABEL, *EXT)]
     for target in EXT:
-        base = oof.predict_column(base, KEY, target, inputs, min_rows=s.residual_rows)
+        base = oof.predict_column(base, KEY, target, inputs)
     return oof.residual_summary(base, EXT)
 
 
@@ -214,7 +223,7 @@ def _run6(tables: Mapping[str, DataFrame], s: Settings) -> Result:
         folded.select(KEY, LABEL, "fold", *near_cols), KEY, near_cols, LABEL, ks=s.knn6, fill=-999, test="fold_avg"
     )
     df = stored(join_features(folded, [stored(encode6(folded, s), "encoded"), near], KEY), "encoded_wide")
-    matrix = model_matrix(df, KEY, LABEL, sample=s.corr_sample)
+    matrix = model_matrix(df, KEY, LABEL)
     wide = stored(matrix.frame, "matrix")
     shadow = select.null_importance(wide, KEY, matrix.features, LABEL, runs=s.null_runs, sample=s.null_sample, seed=s.seed)
     kept = {r["feature"] for r in select.keep_rule(shadow).where("keep = 1").collect()}
@@ -239,13 +248,14 @@ def _run6(tables: Mapping[str, DataFrame], s: Settings) -> Result:
     )
     scored = stored(scored.join(stacked.select(KEY, "stack_lr"), KEY))
     names.append("stack_lr")
-    weights, blend_auc = blend.capped_weights(scored, KEY, LABEL, names, rounds=s.blend_rounds)
+    weights, blend_auc = blend.capped_weights(scored, KEY, LABEL, names, step=s.blend_step)
     stack_auc = rank.auc(scored, LABEL, "stack_lr").first()["auc"]
     unseen = scored.where(F.col(LABEL).isNull())
     if blend_auc >= stack_auc:
         predictions = blend.blend(unseen, KEY, weights, "rank", out=LABEL)
-        return Result(predictions, blend_auc, "blend", weights, features)
-    return Result(unseen.select(KEY, F.col("stack_lr").alias(LABEL)), stack_auc, "stack_lr", weights, features)
+        return Result(predictions, blend_auc, "blend", weights, features, _reports(scored, names))
+    stacked_only = unseen.select(KEY, F.col("stack_lr").alias(LABEL))
+    return Result(stacked_only, stack_auc, "stack_lr", weights, features, _reports(scored, names))
 
 
 def main(spark: SparkSession, data_dir: str, out_dir: str, generation: str, s: Settings | None = None) -> Result:

@@ -10,8 +10,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A fitted table with at most this many rows may be broadcast.
+#: A fitted table with at most this many rows and bytes may be broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def session(app: str = "rowloom", master: str | None = None, **conf) -> SparkSession:
@@ -42,7 +43,7 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a private one only if the cluster names none."""
+    """The cluster's shared folder. Where none is named a private one will do on one machine only."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir")
     if named:
@@ -50,6 +51,8 @@ def scratch_root(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if context.getCheckpointDir() is None:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="rowloom-"))
     return context.getCheckpointDir()
 
@@ -96,6 +99,6 @@ def shared_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFra
     if is_planned_small(df):
         return df, True
     fitted = df.persist()
-    if fitted.limit(max_rows + 1).count() <= max_rows:
+    if fitted.limit(max_rows + 1).count() <= max_rows and planned_bytes(fitted) <= BROADCAST_BYTES:  # measured by persist
         return F.broadcast(fitted), True
     return fitted, False

@@ -55,6 +55,13 @@ def infer_csv_schema(spark: SparkSession, path: str, ids: Sequence[str] = (), sa
     )
 
 
+def has_entries(spark: SparkSession, path: str) -> bool:
+    """True for a folder that holds anything."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
@@ -72,14 +79,14 @@ def discover(
 
     ``priority`` lists (key, name). A match directly in an earlier root wins over a later root,
     which wins over one deeper below the first root. The anchor must be there, and ``at_least``
-    files.
+    files. Absent and empty folders are skipped.
     """
     wanted = spark.createDataFrame(
         [(i, key, file) for i, (key, file) in enumerate(priority)], "pref int, key string, file string"
     )
-    homes = [qualified(spark, r) for r in roots if path_exists(spark, r)]
+    homes = [qualified(spark, r) for r in roots if path_exists(spark, r) and has_entries(spark, r)]
     if not homes:
-        raise FileNotFoundError(f"none of {list(roots)} exists")
+        raise FileNotFoundError(f"none of {list(roots)} holds a file")
     listings = [
         spark.read.format("binaryFile").option("recursiveFileLookup", i == 0).load(f"{home}" if i == 0 else f"{home}/*")
         for i, home in enumerate(homes)
@@ -108,12 +115,21 @@ def discover(
 
 
 def load_wide(
-    spark: SparkSession, files: Mapping[str, str], key: str = "SK_ID_CURR", value: str = "TARGET"
+    spark: SparkSession, files: Mapping[str, str], key: str = "SK_ID_CURR", value: str = "TARGET", partial: bool = False
 ) -> DataFrame:
-    """Inner-join prediction files on the id, one column per file."""
+    """Inner-join prediction files on the id, one column per file.
+
+    Files that do not hold the same ids are an error, unless ``partial`` asks for the shared ids.
+    """
     schema = T.StructType([T.StructField(key, T.LongType()), T.StructField(value, T.DoubleType())])
     frames = [scan(spark, path, schema).select(key, F.col(value).alias(name)) for name, path in files.items()]
-    return reduce(lambda left, right: left.join(right, key), frames)
+    wide = reduce(lambda left, right: left.join(right, key), frames)
+    if not partial:
+        rows = wide.count()
+        odd = {name: n for name, n in ((name, f.count()) for name, f in zip(files, frames)) if n != rows}
+        if odd:
+            raise ValueError(f"{rows} ids are in all files, but these hold other numbers of rows: {odd}")
+    return wide
 
 
 def write_predictions(df: DataFrame, path: str, fmt: str = "csv", mode: str = "error") -> str:

@@ -77,4 +77,4 @@ def test_correlation_filter_uses_pairwise_complete_rows(spark):
     assert pairs[0, 1] == pytest.approx(masked["a"].corr(masked["b"]))
     assert pairs[1, 2] == pytest.approx(masked["b"].corr(masked["c"]))
     assert np.isnan(pairs[0, 4])
-    assert select.corr_filter(df, ["a", "b", "c", "d", "k"], 0.985, "id", None) == ["a", "c", "k"]
+    assert select.corr_filter(df, ["a", "b", "c", "d", "k"], 0.985) == ["a", "c", "k"]

@@ -33,7 +33,8 @@ def test_discovery_order_and_guards(spark, tmp_path):
         io.discover(spark, roots, PREDICTION_FILES, "sub6")
     put("submission6.csv")
     put("deep/er/submission6.csv")
-    found = io.discover(spark, roots, PREDICTION_FILES, "sub6").collect()
+    (tmp_path / "empty").mkdir()
+    found = io.discover(spark, [*roots, str(tmp_path / "empty")], PREDICTION_FILES, "sub6").collect()
     assert [r["key"] for r in found] == ["sub6", "sub4", "sub3"]
     assert found[0]["path"].endswith(f"{tmp_path.name}/submission6.csv")
 
@@ -42,7 +43,10 @@ def test_wide_load_is_an_inner_join(spark, tmp_path):
     a = spark.createDataFrame([(1, 0.1), (2, 0.2)], "SK_ID_CURR long, TARGET double")
     b = spark.createDataFrame([(2, 0.4), (3, 0.6)], "SK_ID_CURR long, TARGET double")
     files = {n: io.write_predictions(df, str(tmp_path / n)) for n, df in (("a", a), ("b", b))}
-    assert rows(io.load_wide(spark, files), "SK_ID_CURR") == [(2, 0.2, 0.4)]
+    with pytest.raises(ValueError, match="'a': 2"):
+        io.load_wide(spark, files)
+    assert rows(io.load_wide(spark, files, partial=True), "SK_ID_CURR") == [(2, 0.2, 0.4)]
+    assert rows(io.load_wide(spark, {"a": files["a"], "c": files["a"]}), "SK_ID_CURR") == [(1, 0.1, 0.1), (2, 0.2, 0.2)]
     check = assemble.align_check(a, b, "SK_ID_CURR").first()
     assert (check["n_left"], check["n_right"], check["n_joined"], check["aligned"]) == (2, 2, 1, 0)
 

@@ -90,8 +90,18 @@ def test_grids_and_weight_search(skewed):
     assert np.allclose(graded["auc"], expected)
     best = blend.best_of(blend.grid_auc(df, "y", ["p", "q"], blend.pair_grid())).first()
     assert best["w_index"] == int(np.argmax(np.round(expected, 12)))
-    weights, score = blend.capped_weights(df, "id", "y", ["p", "q"], cap=0.6, rounds=2)
+    weights, score = blend.capped_weights(df, "id", "y", ["p", "q"], cap=0.6)
     assert sum(weights.values()) == pytest.approx(1) and max(weights.values()) <= 0.6 + 1e-9
+    within = [auc for (a, b), auc in zip(blend.pair_grid(), expected) if max(a, b) <= 0.6]
+    assert score >= max(within) - 0.02
+
+
+@pytest.mark.parametrize(("cols", "cap"), [(["p"], 1.0), (["p", "q"], 0.5), (["p", "q"], 0.55)])
+def test_caps_that_leave_little_room(skewed, cols, cap):
+    weights, _ = blend.capped_weights(skewed[0], "id", "y", cols, cap=cap)
+    assert sum(weights.values()) == pytest.approx(1) and max(weights.values()) <= cap + 1e-9
+    with pytest.raises(ValueError, match="cannot sum to 1"):
+        blend.capped_weights(skewed[0], "id", "y", cols, cap=0.9 / len(cols))
 
 
 def test_blend_with_absent_parts(skewed):
