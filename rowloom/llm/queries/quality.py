@@ -20,8 +20,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = _statistics(spark, sf_dir).withColumn(
         "base_failed", F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words")
     )
-    good = riskrules.good_documents(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    holdout = stats.where("NOT base_failed").join(good, "doc_id", "left_semi")
+    labels = riskrules.verdict_of_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    holdout = stats.where("NOT base_failed").join(labels, "doc_id")
     limits = stored(riskrules.cutoffs(holdout, stratum="lang"), "cutoffs")
     return riskrules.verdicts(stats, limits, stratum="lang").select(
         "doc_id",

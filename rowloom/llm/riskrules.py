@@ -6,7 +6,9 @@ binomial tail P(Bin(n, risk) <= rejected) is at most the error level, that is, i
 ``risk`` of the good documents lie above t" is refused. Cutoffs are tried from the laxest to the strictest
 and the first failure ends the trial (fixed sequence testing), so the ladder needs no correction; strata and
 rules share the error level by Bonferroni, and rules share the risk evenly. With probability 1 - error, no
-stratum then loses more than the stated share of its good documents to the rules.
+stratum then loses more than the stated share of its good documents to the rules. All certified cutoffs hold
+at once, so the one that rejects the most labelled bad documents over good ones may be picked among them, the
+laxer of equals; a rule that finds no bad documents rejects nothing.
 
 Every statistic covers all labelled rows; counting is one grouped aggregation and only the counts of one
 (stratum, rule) meet in a task. A stratum without enough labels to certify any cutoff uses the cutoffs
@@ -63,50 +65,62 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, total)
 
 
-def certified(cells: dict[int, int], n: int, risk: float, error: float, steps: int = STEPS) -> int | None:
-    """The strictest certified rung: documents in a cell above it are rejected. None: no rung passes."""
-    best, rejected = None, 0
+def certified(good: dict[int, int], bad: dict[int, int], risk: float, error: float, steps: int = STEPS) -> tuple[int | None, int | None]:
+    """The strictest certified rung and the best one: documents in a cell above it are rejected. None: no
+    rung is certified, or none of them rejects more bad documents than good ones."""
+    strictest, best, gain, lost, caught = None, None, 0, 0, 0
+    n = sum(good.values())
     for rung in range(steps - 1, -1, -1):
-        rejected += cells.get(rung + 1, 0)
-        if binomial_tail(rejected, n, risk) > error:
+        lost += good.get(rung + 1, 0)
+        caught += bad.get(rung + 1, 0)
+        if binomial_tail(lost, n, risk) > error:
             break
-        best = rung
-    return best
+        strictest = rung
+        if caught - lost > gain:
+            best, gain = rung, caught - lost
+    return strictest, best
 
 
 def _ladder(stats: DataFrame, rules: dict[str, str], stratum: str) -> DataFrame:
     """One row per document and rule with the cell of its ratio (cell c: ratio in ((c-1)/STEPS, c/STEPS])."""
     cells = [F.struct(F.lit(name).alias("rule"), F.ceil(F.coalesce(F.expr(f"CASE WHEN n_words > 0 THEN {sql} END"), F.lit(0.0)) * STEPS - F.lit(1e-9)).cast("int").alias("cell")) for name, sql in rules.items()]
-    return stats.select(F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), F.inline(F.array(*cells)))
+    return stats.select(F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), "good", F.inline(F.array(*cells)))
 
 
 def cutoffs(holdout: DataFrame, risk: Risk = Risk(), rules: dict[str, str] | None = None, stratum: str = "stratum") -> DataFrame:
-    """(stratum, rule, n, rejected_cell) from the text statistics of good documents; stratum null: all."""
+    """(stratum, rule, n, strictest, rung) from text statistics with ``good`` (1 or 0); stratum null: all.
+
+    ``n`` counts good documents. ``rung`` is the cutoff to use, null if there is none."""
     rules = rules or RULES
-    ladder = _ladder(holdout, rules, stratum).groupBy("stratum", "rule", "cell").agg(F.count("*").alias("rows"))
-    counted = ladder.unionByName(ladder.groupBy("rule", "cell").agg(F.sum("rows").alias("rows")).withColumn("stratum", F.lit(None).cast("string")), allowMissingColumns=True)
+    sums = [F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad")]
+    ladder = _ladder(holdout, rules, stratum).groupBy("stratum", "rule", "cell").agg(*sums)
+    together = ladder.groupBy("rule", "cell").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    counted = ladder.unionByName(together.withColumn("stratum", F.lit(None).cast("string")))
     families = ladder.agg((F.count_distinct("stratum") + 1).alias("strata"))
     share, error, count = risk.share, risk.error, len(rules)
 
     def grade(pdf: pd.DataFrame) -> pd.DataFrame:
         level = error / (count * int(pdf["strata"].iloc[0]))
-        n = int(pdf["rows"].sum())
-        rung = certified({int(c): int(r) for c, r in zip(pdf["cell"], pdf["rows"])}, n, share / count, level)
-        return pd.DataFrame({"stratum": [pdf["stratum"].iloc[0]], "rule": [pdf["rule"].iloc[0]], "n": [n], "rung": pd.array([rung], dtype="Int32")})
+        good, bad = (dict(zip(pdf["cell"].tolist(), pdf[c].tolist())) for c in ("good", "bad"))
+        strictest, rung = certified(good, bad, share / count, level)
+        whole = {k: pd.array([v], dtype="Int32") for k, v in (("strictest", strictest), ("rung", rung))}
+        return pd.DataFrame({"stratum": [pdf["stratum"].iloc[0]], "rule": [pdf["rule"].iloc[0]], "n": [sum(good.values())], **whole})
 
     # At most STEPS + 1 rows meet per stratum and rule.
-    return counted.crossJoin(F.broadcast(families)).groupBy("stratum", "rule").applyInPandas(grade, "stratum string, rule string, n long, rung int")
+    return counted.crossJoin(F.broadcast(families)).groupBy("stratum", "rule").applyInPandas(grade, "stratum string, rule string, n long, strictest int, rung int")
 
 
 def verdicts(stats: DataFrame, limits: DataFrame, rules: dict[str, str] | None = None, stratum: str = "stratum") -> DataFrame:
     """``stats`` with the array column ``failed`` of the rules that a document breaks.
 
     ``limits`` has one row per stratum and rule; it is folded into one row per stratum before the join.
+    A rule without any certified cutoff in a stratum takes the common one there.
     """
     rules = rules or RULES
-    fold = F.map_from_entries(F.collect_list(F.struct("rule", "rung")))
-    own = limits.where("stratum IS NOT NULL AND rung IS NOT NULL").groupBy("stratum").agg(fold.alias("__own")).withColumnRenamed("stratum", "__stratum")
-    common = limits.where("stratum IS NULL AND rung IS NOT NULL").agg(fold.alias("__all"))
+    fold = F.map_from_entries(F.collect_list(F.struct(F.col("rule"), F.coalesce("rung", F.lit(STEPS)).alias("rung"))))
+    sure = limits.where("strictest IS NOT NULL")
+    own = sure.where("stratum IS NOT NULL").groupBy("stratum").agg(fold.alias("__own")).withColumnRenamed("stratum", "__stratum")
+    common = sure.where("stratum IS NULL").agg(fold.alias("__all"))
     joined = stats.join(own, F.coalesce(F.col(stratum), F.lit("")) == F.col("__stratum"), "left").crossJoin(F.broadcast(common))
     broken = []
     for name, sql in rules.items():
@@ -116,6 +130,6 @@ def verdicts(stats: DataFrame, limits: DataFrame, rules: dict[str, str] | None =
     return joined.withColumn("failed", F.array_compact(F.array(*broken))).drop("__own", "__all", "__stratum")
 
 
-def good_documents(labels: DataFrame) -> DataFrame:
-    """Ids of the documents all of whose quality labels are 1."""
-    return labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("worst")).where("worst = 1").select("doc_id")
+def verdict_of_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, good): 1 if all quality labels of a document are 1, else 0."""
+    return labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.min("quality") == 1).cast("int").alias("good"))

@@ -63,10 +63,12 @@ def test_binomial_tail_is_exact():
 
 
 def test_certified_cutoffs_keep_the_risk():
-    cells = {0: 5000, 10: 40, 50: 10}
-    rung = riskrules.certified(cells, 5050, 0.01, 0.01)
-    assert rung == 10  # the ten above cell 10 are certified, all fifty are not
-    assert riskrules.certified({0: 20}, 20, 0.01, 0.01) is None  # too few to certify anything
+    good = {0: 5000, 10: 40, 50: 10}
+    # The ten above cell 10 are certified, all fifty are not; the laxest cutoff with all the gain is taken.
+    assert riskrules.certified(good, {30: 5, 60: 90}, 0.01, 0.01) == (10, 59)
+    assert riskrules.certified(good, {30: 50, 60: 90}, 0.01, 0.01) == (10, 29)
+    assert riskrules.certified(good, {5: 50}, 0.01, 0.01) == (10, None)
+    assert riskrules.certified({0: 20}, {90: 9}, 0.01, 0.01) == (None, None)  # too few to certify anything
 
 
 def test_false_rejection_is_limited_per_stratum(spark):
@@ -78,7 +80,7 @@ def test_false_rejection_is_limited_per_stratum(spark):
         symbols = min(100, int(rng.expovariate(1.0 if lang == "a" else 0.2))) if good else 90
         rows.append((i, lang if i % 3000 else None, 100, 500, symbols, 0, 0, 5, 0, 0, int(good)))
     stats = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_marks long, good int")
-    limits = riskrules.cutoffs(stats.where("good = 1"), riskrules.Risk(0.05, 0.05), stratum="lang")
+    limits = riskrules.cutoffs(stats, riskrules.Risk(0.05, 0.05), stratum="lang")
     judged = riskrules.verdicts(stats, limits, stratum="lang").selectExpr("lang", "good", "size(failed) > 0 AS bad").collect()
     for lang in "ab":
         own = [r for r in judged if r.lang == lang]
