@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from rowloom.llm.arrowtext import LOWER, SPACED, blocks, mixed, span_hashes, spans, text_bytes
 from rowloom.session import scratch_path, stored
 
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 8 << 20
 #: Entries that meet in one bucket, about.
 BUCKET_ENTRIES = 1 << 21
 STRENGTHS = (1.0, 10.0, 100.0, 1e3, 1e4, 1e6)
@@ -113,7 +113,7 @@ class Chunk:
         hashes = np.empty(len(starts), np.uint64)
         low = 0
         while low < len(n):  # span hashes of some megabytes at once
-            high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + (4 << 20), "right")) - 1)
+            high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + (2 << 20), "right")) - 1)
             a, b = bounds[low], bounds[high]
             hashes[a:b] = span_hashes(data[offsets[low] : offsets[high]], starts[a:b] - offsets[low], ends[a:b] - offsets[low])
             low = high
