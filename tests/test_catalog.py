@@ -16,7 +16,11 @@ def test_names_line_up():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+#: Wide presets take long to plan: two unlike generations run here, all of them in tools/check_oracle.py.
+CHECKED = sorted(n for n in ORACLES if not n.endswith("_sums") or n.endswith(("gen1v2_sums", "gen2_sums")))
+
+
+@pytest.mark.parametrize("name", CHECKED)
 def test_against_sql(spark, duck, name):
     got = QUERIES[name](spark, SMALL).toPandas()
     assert check_oracle.compare(got, duck.execute(ORACLES[name]).df()) == ""
