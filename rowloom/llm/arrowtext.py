@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that are worked on at once (a longer text forms a block of its own).
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))

@@ -18,7 +18,6 @@ lang_pred or score are replaced. Rows are treated one by one, so repeats get equ
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -53,28 +52,18 @@ class Model:
     languages: list[str]
     weights: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
 
-    def name(self) -> str:
-        digest = hashlib.sha256()
-        for n in sorted(self.grams):
-            digest.update(self.grams[n].tobytes())
-        return digest.hexdigest()
 
+Tables = dict[int, np.ndarray]
 
-#: One model's tables from n-gram to feature, per worker.
-_tables: dict[str, dict[int, np.ndarray]] = {}
 
-
-def _features(model: Model) -> dict[int, np.ndarray]:
-    name = model.name()
-    if name not in _tables:
-        _tables.clear()
-        made, at = {}, 0
-        for n, grams in sorted(model.grams.items()):
-            table = np.full(_SPACE[n], -1, np.int32)
-            table[grams] = np.arange(at, at + len(grams))
-            made[n], at = table, at + len(grams)
-        _tables[name] = made
-    return _tables[name]
+def tables(model: Model) -> Tables:
+    """For each n, the feature of every n-gram, or -1. A task builds them once."""
+    made, at = {}, 0
+    for n, grams in sorted(model.grams.items()):
+        made[n] = np.full(_SPACE[n], -1, np.int32)
+        made[n][grams] = np.arange(at, at + len(grams))
+        at += len(grams)
+    return made
 
 
 def _codes(data: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,14 +77,14 @@ def _codes(data: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return code[inside], text[: len(data) - n + 1][inside]
 
 
-def presence(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def presence(model: Model, found: Tables, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """One row per text: which of the model's n-grams it holds."""
     rows, width = len(offsets) - 1, sum(len(g) for g in model.grams.values())
     out = np.zeros((rows, width), np.float32)
-    flat, tables = out.ravel(), _features(model)
+    flat = out.ravel()
     data = _FOLD[data]
     text = np.repeat(np.arange(rows, dtype=np.int64), np.diff(offsets))
-    for n, table in tables.items():
+    for n, table in found.items():
         if len(data) >= n:
             code, owner = _codes(data, text, n)
             column = table[code]
@@ -104,9 +93,9 @@ def presence(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def kernel(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def kernel(model: Model, found: Tables, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """K(x, Z) for all texts, by one matrix product."""
-    there = presence(model, data, offsets)
+    there = presence(model, found, data, offsets)
     norm = np.sqrt(np.maximum(there.sum(axis=1), 1))
     return (there @ model.landmarks.T) / norm[:, None] / model.norms
 
@@ -125,13 +114,14 @@ def train(texts: list[str], labels: list[str], chosen: list[int], ridge: float =
     owner = np.repeat(np.arange(len(chosen)), np.diff(offsets))
     grams = {n: np.unique(_codes(folded, owner, n)[0]) if len(folded) >= n else np.zeros(0, np.int32) for n in (1, 2, 3)}
     model = Model(grams, np.zeros((0, 0), np.float32), np.ones(1), languages)
-    model.landmarks = presence(model, data, offsets)
+    found = tables(model)
+    model.landmarks = presence(model, found, data, offsets)
     model.norms = np.sqrt(np.maximum(model.landmarks.sum(axis=1), 1))
-    square = kernel(model, data, offsets)
+    square = kernel(model, found, data, offsets)
     value, vector = np.linalg.eigh((square + square.T) / 2)
     root = vector @ np.diag(np.where(value > 1e-6, 1 / np.sqrt(np.maximum(value, 1e-6)), 0)) @ vector.T
     data, offsets = text_bytes(pa.array(texts, pa.string()))
-    rows = [kernel(model, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in _blocks(offsets)]
+    rows = [kernel(model, found, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in _blocks(offsets)]
     feature = np.column_stack([np.vstack(rows) @ root, np.ones(len(texts))])
     target = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     penalty = np.eye(feature.shape[1]) * ridge * len(texts) / max(1, len(languages))
@@ -143,13 +133,18 @@ def train(texts: list[str], labels: list[str], chosen: list[int], ridge: float =
 
 def fit(docs: DataFrame, key: str, text: str = "text", lang: str = "lang", per_class: int = PER_CLASS, landmarks: int = LANDMARKS) -> Model:
     """A model from a bounded sample of the labelled rows."""
-    usable = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & (F.length(text) <= SAMPLE_CHARS))
+    # Of a frequent language only rows with small hashes are looked at, eight times as many as are wanted, so
+    # that what meets in the task of a language does not grow with the corpus.
+    sizes = docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("__lang")).agg(F.count("*").alias("__rows"))
+    if sizes.limit(CLASSES).count() >= CLASSES:
+        raise ValueError(f"the operator is made for fewer than {CLASSES} languages")
+    share = F.pmod(F.xxhash64(key), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    near = docs.join(F.broadcast(sizes), F.col(lang) == F.col("__lang")).where(share * F.col("__rows") < 8 * per_class)
+    usable = near.where(F.col(text).rlike(r"\p{L}") & (F.length(text) <= SAMPLE_CHARS))
     order = Window.partitionBy("lang").orderBy("h", "t")
-    ranked = usable.select(F.col(lang).alias("lang"), F.col(text).alias("t"), F.xxhash64(key).alias("h")).withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_class)
+    ranked = usable.select(F.col(lang).alias("lang"), F.col(text).alias("t"), share.alias("h")).withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_class)
     rows = ranked.select("lang", "r", "t").orderBy("lang", "r").limit(per_class * CLASSES).collect()
     classes = len({r["lang"] for r in rows})
-    if classes >= CLASSES:
-        raise ValueError(f"the operator is made for fewer than {CLASSES} languages")
     each = max(1, landmarks // classes) if classes else 0
     return train([r["t"] for r in rows], [r["lang"] for r in rows], [i for i, r in enumerate(rows) if r["r"] <= each])
 
@@ -157,6 +152,7 @@ def fit(docs: DataFrame, key: str, text: str = "text", lang: str = "lang", per_c
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # landmarks x n-grams, bounded by the sample
+    held: list[Tables] = []  # filled anew in every task
 
     def make(column: pa.Array) -> list[pa.Array]:
         m = shared.value
@@ -164,9 +160,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         if not m.languages:
             return [pa.array(["und"] * len(column)), pa.array(np.zeros(len(column)))]
         data, offsets = text_bytes(column)
+        if not held:
+            held.append(tables(m))
         best, score = np.zeros(len(column), np.int64), np.zeros(len(column))
         for a, b in _blocks(offsets):
-            k = kernel(m, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            k = kernel(m, held[0], data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             margin = (k @ m.weights[:-1] + m.weights[-1]) * SHARPNESS
             best[a:b] = margin.argmax(axis=1)
             score[a:b] = 1 / np.exp(margin - margin.max(axis=1, keepdims=True)).sum(axis=1)

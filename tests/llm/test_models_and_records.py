@@ -303,7 +303,7 @@ def test_kernel_equals_its_definition():
     grams = lambda t: {fold(t)[i : i + n] for n in (1, 2, 3) for i in range(len(fold(t)) - n + 1)}
     space = grams(texts[0]) | grams(texts[1])
     expected = [[len(grams(x) & grams(z)) / math.sqrt(len(grams(x) & space) * len(grams(z))) for z in texts[:2]] for x in texts]
-    assert np.allclose(stringkernel.kernel(model, *text_bytes(pa.array(texts))), expected)
+    assert np.allclose(stringkernel.kernel(model, stringkernel.tables(model), *text_bytes(pa.array(texts))), expected)
 
 
 def test_texts_without_letters_are_undetermined(spark):
