@@ -41,9 +41,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path(MODEL)
-    ids = pieces.encode(docs.select("doc_id", "lang", "source", "text"), model)
-    back = pieces.decode(ids, model, text="decoded")
-    return back.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+    ids = pieces.encode(docs.select("doc_id", "lang", "source", "text"), model, back="decoded")
+    return ids.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
 STAGES = [("language", language), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("tokens", tokens)]

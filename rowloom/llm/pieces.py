@@ -29,7 +29,9 @@ from rowloom.llm.arrowtext import appended, list_array, text_array
 
 MARK = "▁"
 #: Distinct words a worker keeps; the table is begun anew when it is full.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 250_000
+#: Bytes of text that are encoded, and ids that are decoded, at once.
+TEXT_BYTES, IDS = 2 << 20, 1 << 18
 #: Words with more symbols than this use the heap.
 SHORT = 48
 #: Short words that share one agenda.
@@ -275,14 +277,28 @@ def _table(path: str) -> dict[str, bytes]:
     return {}
 
 
-def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with the ids of the whole text. ``model`` is the model file's path on every executor."""
+def _decoded(vocab: Vocabulary, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Texts of the ids, some hundred thousand ids (or one text) at once."""
+    ends, row, parts = np.cumsum(counts), 0, []
+    while row < len(counts):
+        before = int(ends[row - 1]) if row else 0
+        stop = max(row + 1, int(np.searchsorted(ends, before + IDS, "right")))
+        parts.append(text_array(*_well_formed(*vocab.decode(ids[before : ends[stop - 1]], counts[row:stop]))))
+        row = stop
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+
+def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids", back: str | None = None) -> DataFrame:
+    """``df`` with the ids of the whole text, and in column ``back`` what these ids decode to, if that is asked
+    for. ``model`` is the model file's path on every executor."""
 
     def make(column: pa.Array) -> list[pa.Array]:
         values, counts = vocabulary(model).encode(column, _table(model))
-        return [list_array(values, counts, pa.int32())]
+        made = [list_array(values, counts, pa.int32())]
+        return [*made, _decoded(vocabulary(model), values, counts)] if back else made
 
-    return appended(df, text, [T.StructField(ids, T.ArrayType(T.IntegerType(), False))], make)
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
+    return appended(df, text, fields + ([T.StructField(back, T.StringType())] if back else []), make, TEXT_BYTES)
 
 
 def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -292,18 +308,11 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "text") -> D
     names = [f.name for f in fields]
 
     def run(batches):
-        vocab = vocabulary(model)
         for batch in batches:
             column = batch.column(names.index(ids))
             sizes = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-            ends, row = np.cumsum(sizes), 0
-            while row < batch.num_rows:  # a million ids at once
-                stop = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + (1 << 20), "right")))
-                part = batch.slice(row, stop - row)
-                flat = part.column(names.index(ids)).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                data, lengths = _well_formed(*vocab.decode(flat, sizes[row:stop]))
-                yield pa.RecordBatch.from_arrays([*part.columns, text_array(data, lengths)], schema=None, names=[*names, text])
-                row = stop
+            texts = _decoded(vocabulary(model), column.flatten().to_numpy(zero_copy_only=False), sizes)
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*names, text])
 
     return df.select(*[f"`{n}`" for n in names]).mapInArrow(run, schema)
 
