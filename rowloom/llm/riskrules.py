@@ -11,16 +11,17 @@ at once, so the one that rejects the most labelled bad documents over good ones
 laxer of equals; a rule that finds no bad documents rejects nothing.
 
 Every statistic covers all labelled rows; counting is one grouped aggregation and only the counts of one
-(stratum, rule) meet in a task. A stratum without enough labels to certify any cutoff uses the cutoffs
-certified over all strata together, a test of its own within the same error level; if those fail as well the
-rule rejects nothing. Null strata form one stratum. Documents without words have ratio zero. A label that is
-null is no label; several labels of one document count once, as good only if all of them are good.
+(stratum, rule) meet in a task. In a stratum whose own labels certify no cutoff of a rule, or that has no
+labels at all, the rule rejects nothing: cutoffs of other strata bound nothing there. ``labels_needed`` gives
+the fewest good labels that certify anything. Null strata form one stratum. Documents without words have ratio
+zero. A label that is null is no label; several labels of one document count once, as good only if all of them
+are good.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import exp, lgamma, log, log1p
+from math import ceil, exp, lgamma, log, log1p
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -81,6 +82,11 @@ def certified(good: dict[int, int], bad: dict[int, int], risk: float, error: flo
     return strictest, best
 
 
+def labels_needed(strata: int, risk: Risk = Risk(), rules: int = len(RULES)) -> int:
+    """The fewest good labels of a stratum with which a rule that loses none of them is certified."""
+    return ceil(log(risk.error / (rules * strata)) / log1p(-risk.share / rules))
+
+
 def _ladder(stats: DataFrame, rules: dict[str, str], stratum: str) -> DataFrame:
     """One row per document and rule with the cell of its ratio (cell c: ratio in ((c-1)/STEPS, c/STEPS])."""
     cells = [F.struct(F.lit(name).alias("rule"), F.ceil(F.coalesce(F.expr(f"CASE WHEN n_words > 0 THEN {sql} END"), F.lit(0.0)) * STEPS - F.lit(1e-9)).cast("int").alias("cell")) for name, sql in rules.items()]
@@ -88,15 +94,13 @@ def _ladder(stats: DataFrame, rules: dict[str, str], stratum: str) -> DataFrame:
 
 
 def cutoffs(holdout: DataFrame, risk: Risk = Risk(), rules: dict[str, str] | None = None, stratum: str = "stratum") -> DataFrame:
-    """(stratum, rule, n, strictest, rung) from text statistics with ``good`` (1 or 0); stratum null: all.
+    """(stratum, rule, n, strictest, rung) from text statistics with ``good`` (1 or 0); stratum "": null.
 
     ``n`` counts good documents. ``rung`` is the cutoff to use, null if there is none."""
     rules = rules or RULES
     sums = [F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad")]
     ladder = _ladder(holdout, rules, stratum).groupBy("stratum", "rule", "cell").agg(*sums)
-    together = ladder.groupBy("rule", "cell").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    counted = ladder.unionByName(together.withColumn("stratum", F.lit(None).cast("string")))
-    families = ladder.agg((F.count_distinct("stratum") + 1).alias("strata"))
+    families = ladder.agg(F.count_distinct("stratum").alias("strata"))
     share, error, count = risk.share, risk.error, len(rules)
 
     def grade(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -107,27 +111,24 @@ def cutoffs(holdout: DataFrame, risk: Risk = Risk(), rules: dict[str, str] | Non
         return pd.DataFrame({"stratum": [pdf["stratum"].iloc[0]], "rule": [pdf["rule"].iloc[0]], "n": [sum(good.values())], **whole})
 
     # At most STEPS + 1 rows meet per stratum and rule.
-    return counted.crossJoin(F.broadcast(families)).groupBy("stratum", "rule").applyInPandas(grade, "stratum string, rule string, n long, strictest int, rung int")
+    return ladder.crossJoin(F.broadcast(families)).groupBy("stratum", "rule").applyInPandas(grade, "stratum string, rule string, n long, strictest int, rung int")
 
 
 def verdicts(stats: DataFrame, limits: DataFrame, rules: dict[str, str] | None = None, stratum: str = "stratum") -> DataFrame:
     """``stats`` with the array column ``failed`` of the rules that a document breaks.
 
     ``limits`` has one row per stratum and rule; it is folded into one row per stratum before the join.
-    A rule without any certified cutoff in a stratum takes the common one there.
+    A rule without a cutoff certified in the stratum itself rejects nothing there.
     """
     rules = rules or RULES
     fold = F.map_from_entries(F.collect_list(F.struct(F.col("rule"), F.coalesce("rung", F.lit(STEPS)).alias("rung"))))
-    sure = limits.where("strictest IS NOT NULL")
-    own = sure.where("stratum IS NOT NULL").groupBy("stratum").agg(fold.alias("__own")).withColumnRenamed("stratum", "__stratum")
-    common = sure.where("stratum IS NULL").agg(fold.alias("__all"))
-    joined = stats.join(own, F.coalesce(F.col(stratum), F.lit("")) == F.col("__stratum"), "left").crossJoin(F.broadcast(common))
+    own = limits.where("strictest IS NOT NULL").groupBy("stratum").agg(fold.alias("__own")).withColumnRenamed("stratum", "__stratum")
+    joined = stats.join(own, F.coalesce(F.col(stratum), F.lit("")) == F.col("__stratum"), "left")
     broken = []
     for name, sql in rules.items():
         cell = F.ceil(F.coalesce(F.expr(f"CASE WHEN n_words > 0 THEN {sql} END"), F.lit(0.0)) * STEPS - F.lit(1e-9))
-        limit = F.coalesce(F.element_at("__own", F.lit(name)), F.element_at("__all", F.lit(name)))
-        broken.append(F.when(cell > limit, F.lit(name)))
-    return joined.withColumn("failed", F.array_compact(F.array(*broken))).drop("__own", "__all", "__stratum")
+        broken.append(F.when(cell > F.element_at("__own", F.lit(name)), F.lit(name)))
+    return joined.withColumn("failed", F.array_compact(F.array(*broken))).drop("__own", "__stratum")
 
 
 def verdict_of_labels(labels: DataFrame) -> DataFrame:

@@ -92,6 +92,26 @@ def test_false_rejection_is_limited_per_stratum(spark):
     assert all(r.n == 0 for r in riskrules.verdicts(stats, limits.limit(0), stratum="lang").selectExpr("size(failed) AS n").collect())
 
 
+def test_strata_with_few_or_no_labels_keep_their_good_documents(spark):
+    """A hot language certifies strict cutoffs; in the other strata every good document lies above them."""
+    rows = [("hot", 0 if i % 10 else 50, int(i % 10 > 0), True) for i in range(20000)]
+    for lang in ("sparse", None, "unlabelled"):
+        rows += [(lang, 60 if i % 10 else 90, int(i % 10 > 0), lang != "unlabelled") for i in range(50)]
+    named = [(i, lang, 100, 500, symbols, 0, 0, 5, 0, 0, good, labelled) for i, (lang, symbols, good, labelled) in enumerate(rows)]
+    stats = spark.createDataFrame(named, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_marks long, good int, labelled boolean")
+    limits = riskrules.cutoffs(stats.where("labelled"), stratum="lang")
+    judged = riskrules.verdicts(stats, limits, stratum="lang").selectExpr("lang", "good", "size(failed) > 0 AS bad").collect()
+    assert len(judged) == len(rows)
+    for lang in ("hot", "sparse", None, "unlabelled"):
+        good = [r.bad for r in judged if r.lang == lang and r.good]
+        assert sum(good) <= 0.05 * len(good), lang
+    assert all(r.bad for r in judged if r.lang == "hot" and not r.good)
+    assert {r.stratum for r in limits.collect()} == {"hot", "sparse", ""}
+    least = riskrules.labels_needed(4)
+    assert riskrules.certified({0: least}, {90: 9}, 0.05 / 7, 0.05 / 28) == (0, 89)
+    assert riskrules.certified({0: least - 1}, {90: 9}, 0.05 / 7, 0.05 / 28) == (None, None)
+
+
 def plain_line_dedup(docs, least=50):
     """docs: (id, text) in order; the definition with words joined to bodies."""
     split = {i: t.split("\n") for i, t in docs if t is not None}
