@@ -12,8 +12,10 @@ their own distance. A task gives out not the pairs but a forest of each bucket's
 edge per fingerprint, so large groups stay linear. A bucket with over BUCKET fingerprints is dealt out by
 hash into parts, and every two parts meet in a task of their own: no pair is lost and no task grows.
 
-Exact copies share a fingerprint and collapse before the search. Every document keeps its row, repeated rows
-and null ids included (a null id is never a component's name unless all of a component's ids are null).
+Exact copies share a fingerprint and collapse before the search. The graph's nodes are fingerprints, so rows
+without an id link others too; a component is named afterwards by the smallest id in it. Every document keeps
+its row, repeated rows and null ids included (a null id is never a component's name unless all of a
+component's ids are null).
 """
 
 from __future__ import annotations
@@ -162,9 +164,11 @@ def links(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, fp, component_id) of every document."""
     marked = stored(fingerprints(docs.select(F.col(id).alias("id"), F.col(text).alias("text"))).select("id", "fp"), "fingerprints")
-    nodes = stored(marked.groupBy("fp").agg(F.min("id").alias("rep")), "nodes")
-    roots = components(links(nodes.where("rep IS NOT NULL")))
-    named = nodes.join(roots, nodes["rep"] == roots["node"], "left").select(F.col("fp").alias("__fp"), F.coalesce("root", "rep").alias("component_id"))
+    nodes = stored(marked.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    roots = components(links(nodes.select("fp", F.col("fp").alias("rep"))))
+    rooted = stored(nodes.join(roots, nodes["fp"] == roots["node"], "left").select(F.col("fp").alias("__fp"), "least", F.coalesce("root", "fp").alias("root")), "rooted")
+    names = rooted.groupBy(F.col("root").alias("__root")).agg(F.min("least").alias("component_id"))
+    named = rooted.join(names, F.col("root") == F.col("__root")).select("__fp", "component_id")
     return marked.join(named, F.col("fp") == F.col("__fp")).select(F.col("id").alias(id), "fp", "component_id")
 
 

@@ -210,6 +210,14 @@ def test_links_of_chains_and_large_groups(spark, bucket):
     assert {i: roots.get(i, i) for i in values} == plain_components(values)
 
 
+def test_rows_without_an_id_link_and_are_named(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs: docs.withColumn("fp", docs["text"].cast("long")))
+    rows = [(5, 0), (None, 7), (3, 63), (None, 63 << 20), (9, 63 << 40), (None, 62 << 40), (None, 62 << 40), (None, -1), (None, -2)]
+    got = simhash.near_duplicates(spark.createDataFrame([(i, str(fp)) for i, fp in rows], "doc_id long, text string")).collect()
+    named = {0: 3, 7: 3, 63: 3, 63 << 20: None, 63 << 40: 9, 62 << 40: 9, -1: None, -2: None}
+    assert sorted((str(r.doc_id), r.fp, r.component_id) for r in got) == sorted((str(i), fp, named[fp]) for i, fp in rows)
+
+
 def test_representatives_keep_one_of_each_group(spark):
     docs = spark.createDataFrame([(3, "a b c d", "x"), (1, "a b c d", "y"), (1, "a b c d", "y"), (7, "other words are here now", "z"), (None, "a b c d", "n")], "doc_id long, text string, component_id string")
     kept = sorted(((r.doc_id, r.component_id) for r in simhash.representatives(docs).collect()), key=str)
