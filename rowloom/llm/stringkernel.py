@@ -6,9 +6,11 @@ z, and every ASCII byte that is no letter counts as a space. Landmarks are whole
 features K(x, Z) K(Z, Z)^-1/2 feed one ridge regression per language against the rest, and both matrices fold
 into one, so that a block of texts is scored by two products: presence x landmarks, then kernel x weights.
 
-Fitting takes a bounded sample: per language the ``per_class`` texts with the smallest hashes among those of at
-most SAMPLE_CHARS code points, ``landmarks`` of them over all languages. Prediction reads whole texts of every
-document, however long; ``lang`` is never looked at.
+Fitting takes a bounded sample: per language the ``per_class`` texts with the smallest hashes of id and text
+among those of at most SAMPLE_CHARS code points, ``landmarks`` of them over all languages. A language with fewer
+than FEW such texts is also learned from whole longer ones, FEW texts at most in all. Every language with a
+lettered text is learned. Prediction reads whole texts of every document, however long; ``lang`` is never looked
+at.
 
 A text that is null or has no letter is ``und`` with score 0. Otherwise the score is the softmax of the
 regressions at the predicted language; equal regressions go to the name that sorts first. Without labelled
@@ -18,6 +20,7 @@ lang_pred or score are replaced. Rows are treated one by one, so repeats get equ
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,6 +35,8 @@ from rowloom.llm.arrowtext import LOWER, appended, byte_class, text_bytes
 
 #: Bounds of the sample: texts per language, landmarks over all, code points of a sampled text, languages.
 PER_CLASS, LANDMARKS, SAMPLE_CHARS, CLASSES = 400, 96, 20_000, 500
+#: A language with fewer texts of at most SAMPLE_CHARS is filled up to so many with longer ones.
+FEW = 24
 RIDGE = 1e-2
 #: The regressions are multiplied by this before the softmax.
 SHARPNESS = 4.0
@@ -133,20 +138,45 @@ def train(texts: list[str], labels: list[str], chosen: list[int], ridge: float =
 
 def fit(docs: DataFrame, key: str, text: str = "text", lang: str = "lang", per_class: int = PER_CLASS, landmarks: int = LANDMARKS) -> Model:
     """A model from a bounded sample of the labelled rows."""
-    # Of a frequent language only rows with small hashes are looked at, eight times as many as are wanted, so
-    # that what meets in the task of a language does not grow with the corpus.
-    sizes = docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("__lang")).agg(F.count("*").alias("__rows"))
-    if sizes.limit(CLASSES).count() >= CLASSES:
+    lettered = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+    long = F.length(text) > SAMPLE_CHARS
+    sums = [F.count_if(lettered & ~long).alias("short"), F.count_if(lettered & long).alias("long")]
+    sizes = docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(*sums).limit(CLASSES).collect()
+    if len(sizes) >= CLASSES:
         raise ValueError(f"the operator is made for fewer than {CLASSES} languages")
-    share = F.pmod(F.xxhash64(key), F.lit(1 << 31)) / F.lit(float(1 << 31))
-    near = docs.join(F.broadcast(sizes), F.col(lang) == F.col("__lang")).where(share * F.col("__rows") < 8 * per_class)
-    usable = near.where(F.col(text).rlike(r"\p{L}") & (F.length(text) <= SAMPLE_CHARS))
-    order = Window.partitionBy("lang").orderBy("h", "t")
-    ranked = usable.select(F.col(lang).alias("lang"), F.col(text).alias("t"), share.alias("h")).withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_class)
-    rows = ranked.select("lang", "r", "t").orderBy("lang", "r").limit(per_class * CLASSES).collect()
+    wanted = {(r["lang"], False): (min(r["short"], per_class), r["short"]) for r in sizes if r["short"]}
+    few = min(FEW, per_class)
+    wanted |= {(r["lang"], True): (min(r["long"], few - r["short"]), r["long"]) for r in sizes if r["long"] and r["short"] < few}
+    share = F.pmod(F.xxhash64(key, text), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    order = Window.partitionBy("lang", "long").orderBy(F.when(F.col("long"), F.length("t")), "h", "t")
+
+    def sample(below: dict[tuple[str, bool], float]) -> list:
+        """The first texts of every (language, long) among those whose share of the hashes is below the given one."""
+        if not below:
+            return []
+        parts = docs.sparkSession.createDataFrame([(*k, wanted[k][0], v) for k, v in below.items()], "__lang string, __long boolean, __need long, __below double")
+        near = docs.join(F.broadcast(parts), (F.col(lang) == F.col("__lang")) & (long == F.col("__long"))).where(lettered & (share < F.col("__below")))
+        chosen = near.select(F.col(lang).alias("lang"), F.col("__long").alias("long"), "__need", F.col(text).alias("t"), share.alias("h"))
+        ranked = chosen.withColumn("r", F.row_number().over(order)).where((F.col("r") <= per_class) & (F.col("r") <= F.col("__need")))
+        return ranked.select("lang", "long", "r", "t").collect()
+
+    # Of a frequent language only rows with small hashes are looked at, eight times as many as are wanted, so
+    # that what meets in the task of a language does not grow with the corpus. Where that gives too few, as for
+    # many copies of one row, all rows of the language are looked at.
+    rows = sample({k: 8 * need / size for k, (need, size) in wanted.items()})
+    found = Counter((r["lang"], r["long"]) for r in rows)
+    scarce = {k for k, (need, _) in wanted.items() if found[k] < need}
+    rows = [r for r in rows if (r["lang"], r["long"]) not in scarce] + sample({k: 2.0 for k in scarce})
+    rows.sort(key=lambda r: (r["lang"], r["long"], r["r"]))
     classes = len({r["lang"] for r in rows})
     each = max(1, landmarks // classes) if classes else 0
-    return train([r["t"] for r in rows], [r["lang"] for r in rows], [i for i, r in enumerate(rows) if r["r"] <= each])
+    first: Counter = Counter()
+    chosen = []
+    for i, r in enumerate(rows):
+        first[r["lang"]] += 1
+        if first[r["lang"]] <= each:
+            chosen.append(i)
+    return train([r["t"] for r in rows], [r["lang"] for r in rows], chosen)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -292,6 +292,17 @@ def test_languages_of_held_out_texts(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_no_language_is_left_out_of_the_sample(spark):
+    """Languages of long texts only, of one id for all rows, of no ids, and of one row over and over."""
+    rows = [(i, f"das lange wort {i} " * 2000, "long") for i in range(3)] + [(None, f"ohne nummer {i}", "none") for i in range(200)]
+    for id in range(6):
+        rows += [(id, f"words of {id} and {i}", f"shared{id}") for i in range(200)] + [(id, f"copy {id}", f"copies{id}") for _ in range(200)]
+    rows += [(1, "12", "letterless"), (2, None, "letterless")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = stringkernel.fit(docs, key="doc_id", per_class=4, landmarks=28)
+    assert model.languages == sorted({r[2] for r in rows} - {"letterless"})
+
+
 def test_kernel_equals_its_definition():
     import pyarrow as pa
 
