@@ -12,6 +12,11 @@ def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(warc.responses(pages)).drop("date", "record_id", "concurrent_to")
 
 
+def op2_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the records, with their ids and the link between the two of a page."""
+    return warc.derivatives(warc.responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
 _QUOTED = r"""(?:[^>"'']|"[^"]*"|''[^'']*'')*>"""
 _HIDDEN = r"<!--.*?-->|" + "|".join(rf"<{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in warc.HIDDEN)
 
@@ -54,5 +59,20 @@ SELECT warc_type, id AS refers_to, url AS target_uri, content_type, CAST(strlen(
 FROM r
 """
 
-QUERIES = {"op2_warc_derivatives": op2_warc_derivatives}
-ORACLES = {"op2_warc_derivatives": _SQL}
+
+
+def _derived_id(kind: str) -> str:
+    """SQL of warc.derived_id: a name-based UUID of version 5 in the URL namespace."""
+    h = f"sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode({kind} || ' of ' || refers_to))"
+    variant = f"substr('89ab', (strpos('0123456789abcdef', substr({h}, 17, 1)) - 1) % 4 + 1, 1)"
+    return f"'urn:uuid:' || substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || {variant} || substr({h}, 18, 3) || '-' || substr({h}, 21, 12)"
+
+
+_RECORDS_SQL = f"""
+SELECT *, {_derived_id("warc_type")} AS record_id, CASE WHEN warc_type = 'metadata' THEN {_derived_id("'conversion'")} END AS concurrent_to,
+       CAST(NULL AS VARCHAR) AS date
+FROM ({_SQL})
+"""
+
+QUERIES = {"op2_warc_derivatives": op2_warc_derivatives, "op2_warc_records": op2_warc_records}
+ORACLES = {"op2_warc_derivatives": _SQL, "op2_warc_records": _RECORDS_SQL}

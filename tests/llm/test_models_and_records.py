@@ -80,6 +80,15 @@ def test_derived_records_refer_to_their_source(spark):
     assert "title: T x\r\n" in first["metadata"].block and "outlink: /u\r\n" in first["metadata"].block
 
 
+def test_a_registered_query_returns_whole_records(spark):
+    rows = QUERIES["op2_warc_records"](spark, SMALL)
+    assert rows.columns == [part.split()[0] for part in warc.RECORD.split(", ")]
+    rows = rows.collect()
+    made = {(r.record_id, r.refers_to) for r in rows if r.warc_type == "conversion"}
+    linked = [(r.concurrent_to, r.refers_to) for r in rows if r.warc_type == "metadata"]
+    assert len(linked) * 2 == len(rows) > 0 and set(linked) == made
+
+
 def test_foreign_responses_with_nulls():
     rows = warc.derived(None, None, None, b"HTTP/1.1 404 x\r\nA: b", None, "sha1:0")
     assert [r[0] for r in rows] == ["conversion", "metadata"] and rows[0][-1] == ""
