@@ -1,10 +1,11 @@
 """Deletion of repeated runs of lines by prefix doubling over line ids.
 
 Documents are rows of line ids (a 64-bit hash of the line's bytes; its length goes along and must agree too).
-Level k of the suffix array puts two places into one class if the 2**k lines from there on agree; level k + 1
-joins each place with the one 2**k lines further on. A place that is alone in its class can repeat nothing
-longer and leaves, so levels shrink quickly. The places that share a prefix of m lines form an interval of
-longest common prefixes m or more; it is found from two overlapping classes of level floor(log2 m).
+Level k puts two places into one class if the 2**k lines from there on agree; level k + 1 joins each place with
+the one 2**k lines further on. A place that is alone in its class can repeat nothing longer and leaves, so
+levels shrink quickly. No suffix order and no longest common prefixes are computed: classes have names, not
+ranks. The places that share a prefix of m lines, an interval of a suffix array, are those that agree in two
+overlapping classes of level floor(log2 m), and only the m of the windows below are asked for.
 
 A repeated run counts if it holds ``min_words`` words. Every maximal repeated run of that weight is the union
 of the lightest sufficient windows that begin or end at its lines, so exactly those windows are looked up. The
