@@ -83,12 +83,11 @@ def test_latest_value_is_per_column(child):
     assert rows(out, "id") == [(1, 10.0, "a"), (2, None, "a"), (3, 4.0, "b")]
 
 
-def test_batches_agree_with_one_aggregate(child):
-    slices = [Slice(count=True), Slice("A", "c = 'a'")]
-    whole = R.rollup(child, "id", "P", ["v", "t"], {"c": ["a", None]}, slices=slices)
-    parts = R.rollup(child, "id", "P", ["v", "t"], {"c": ["a", None]}, slices=slices, batch=3)
-    assert sorted(whole.columns) == sorted(parts.columns)
-    assert rows(whole, "id") == rows(parts.select(*whole.columns), "id")
+def test_all_slices_take_one_shuffle(child):
+    slices = [Slice(count=True), Slice("A", "c = 'a'"), Slice("B", "t > 1")]
+    out = R.rollup(child, "id", "P", ["v", "t"], {"c": ["a", None]}, slices=slices)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Join" not in plan
 
 
 def test_two_level_and_pivot(spark):
