@@ -40,9 +40,9 @@ from rowloom.llm import pieces
 from rowloom.llm.arrowtext import appended, blocks, list_array, text_array, text_bytes
 from rowloom.session import stored
 
-BLOCK_BYTES = 8 << 20
-#: Units that go through A's library at once.
-TOGETHER = 20_000
+BLOCK_BYTES = 4 << 20
+#: Units that go through A's library at once, and units whose ids a worker keeps.
+TOGETHER, KEPT = 5_000, 250_000
 
 #: White space before which no unit is cut: what a split by words could join to the space.
 _WHITE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -68,7 +68,8 @@ class Pair:
         self.first = Tokenizer.from_file(a)
         self.first.encode_special_tokens = True
         self.second = pieces.vocabulary(b)
-        self.table: dict[str, bytes] = {}
+        self.a_table: dict[str, bytes] = {}
+        self.b_table: dict[str, bytes] = {}
         # Byte-level entries: printable characters stand for their own byte, others from U+0100 on for the rest.
         own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         byte_of = {chr(x): x for x in own} | {chr(0x100 + k): x for k, x in enumerate(sorted(set(range(256)) - set(own)))}
@@ -90,15 +91,19 @@ class Pair:
 
     def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A and how many each unit has, ids of B and how many."""
-        listed: list[np.ndarray] = []
-        counts: list[int] = []
-        for at in range(0, len(units), TOGETHER):
-            ids = [e.ids for e in self.first.encode_batch_fast([" " + u for u in units[at : at + TOGETHER]], add_special_tokens=False)]
-            counts += map(len, ids)
-            listed.append(np.fromiter((i for row in ids for i in row), np.int64))
-        raw = self.second.ids_of([pieces.MARK + u.replace(" ", pieces.MARK) for u in units], self.table)
-        b = np.frombuffer(b"".join(raw), np.int32).astype(np.int64)
-        return np.concatenate(listed) if listed else np.zeros(0, np.int64), np.array(counts, np.int64), b, np.array([len(r) >> 2 for r in raw], np.int64)
+        new = [u for u in units if u not in self.a_table]
+        if len(self.a_table) + len(new) > KEPT:
+            self.a_table.clear()
+            new = units
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            ids = [np.array(e.ids, np.int32).tobytes() for e in self.first.encode_batch_fast([" " + u for u in some], add_special_tokens=False)]
+            self.a_table.update(zip(some, ids))
+        marked = [pieces.MARK + u.replace(" ", pieces.MARK) for u in units]
+        out = []
+        for raw in ([self.a_table[u] for u in units], self.second.ids_of(marked, self.b_table)):
+            out += [np.frombuffer(b"".join(raw), np.int32).astype(np.int64), np.array([len(r) >> 2 for r in raw], np.int64)]
+        return tuple(out)
 
 
 @lru_cache(maxsize=2)
