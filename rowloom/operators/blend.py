@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from operator import add
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from rowloom.operators.rank import auc, rank_norm
 
@@ -103,11 +106,17 @@ def simplex_grid(n: int, parts: int, cap: float = 1.0) -> list[tuple[float, ...]
 
 
 def grid_auc(
-    df: DataFrame, label: str, cols: Sequence[str], grid: Sequence[Sequence[float]], by: Sequence[str] = ()
+    df: DataFrame,
+    label: str,
+    cols: Sequence[str],
+    grid: Sequence[Sequence[float]],
+    by: Sequence[str] = (),
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """AUC of every weight vector in one job: (by..., w_index, w_<col>..., auc).
 
-    The grid has a fixed size and travels as literals; each row yields one score per vector.
+    The grid has a fixed size and travels as literals; each row yields one score per vector, or per vector of its
+    group in ``only`` (by..., w_index; no more rows than the grid has for all groups).
     """
     by = list(by)
     cells = [
@@ -121,6 +130,9 @@ def grid_auc(
     spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     narrow = df.where(F.col(label).isNotNull()).select(*by, label, *cols).repartition(spread)
     scored = narrow.select(*by, label, F.inline(F.array(*cells)))
+    if only is not None:
+        same = [scored[c].eqNullSafe(only[c]) for c in (*by, "w_index")]
+        scored = scored.join(F.broadcast(only), reduce(lambda a, b: a & b, same), "left_semi")
     result = auc(scored, label, "_mix", [*by, "w_index"]).select(*by, "w_index", "auc")
     weights = [
         F.element_at(F.array(*[F.lit(float(ws[j])) for ws in grid]), F.col("w_index") + 1).alias(f"w_{c}")
@@ -140,6 +152,91 @@ def best_of(graded: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+#: Rows that place the bins of the bounds; bins at first, and how many more in each round.
+BIN_ROWS, BINS, FINER, MOST_BINS = 20_000, 256, 8, 1 << 16
+
+
+def auc_bounds(
+    df: DataFrame, label: str, cols: Sequence[str], vectors: Mapping[int, Sequence[float]], edges: np.ndarray, by: Sequence[str] = ()
+) -> DataFrame:
+    """(by..., w_index, low, high): each vector's AUC lies between the share of pairs in the right order across bins
+    and that share plus the pairs inside bins. ``edges``: one row of bin limits per vector.
+
+    Every task counts its rows by group, vector and bin; only these counts are shuffled.
+    """
+    by, index, weights = list(by), np.array(list(vectors), np.int32), np.array(list(vectors.values()), float)
+    rows = df.where(F.col(label).isNotNull()).select(*by, F.col(label).cast("int").alias("_y"), *[F.col(c).cast("double").alias(f"_s{i}") for i, c in enumerate(cols)])
+    rows = rows.where(reduce(lambda a, b: a & b, [F.col(f"_s{i}").isNotNull() for i in range(len(cols))]))
+    bins = edges.shape[1] + 1
+    groups = rows.select(*by, "_y").schema.fields[: len(by)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            keys = list(zip(*[batch.column(i).to_pylist() for i in range(len(by))])) if by else [()] * batch.num_rows
+            names = {k: i for i, k in enumerate(dict.fromkeys(keys))}
+            group = np.array([names[k] for k in keys], np.int64)
+            y, *scores = [batch.column(len(by) + i).to_numpy(zero_copy_only=False) for i in range(1 + len(cols))]
+            for v in range(len(index)):
+                mix = reduce(add, [s * w for s, w in zip(scores, weights[v])])
+                place = (group * bins + np.searchsorted(edges[v], mix, "right")) * 2 + y
+                counts = np.bincount(place, minlength=len(names) * bins * 2).reshape(len(names), bins, 2)
+                for k, i in names.items():
+                    held.setdefault(k, np.zeros((len(index), bins, 2), np.int64))[v] += counts[i]
+        for k, counts in held.items():
+            v, b = np.nonzero(counts.sum(axis=2))
+            fixed = [pa.array([x] * len(v), f.type) for x, f in zip(k, arrow)]
+            yield pa.RecordBatch.from_arrays([*fixed, pa.array(index[v]), pa.array(b.astype(np.int32)), pa.array(counts[v, b, 1]), pa.array(counts[v, b, 0])], names=[*by, "w_index", "bin", "pos", "neg"])
+
+    schema = T.StructType([*groups, *T._parse_datatype_string("w_index int, bin int, pos long, neg long").fields])
+    arrow = to_arrow_schema(T.StructType(groups))
+    totals = rows.mapInArrow(count, schema).groupBy(*by, "w_index", "bin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # At most as many rows per window as there are bins.
+    below = F.coalesce(F.sum("neg").over(Window.partitionBy(*by, "w_index").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    placed = totals.withColumn("below", below).withColumns({c: F.col(c).cast("double") for c in ("pos", "neg", "below")})
+    low = F.try_divide(F.sum(F.col("pos") * F.col("below")), pairs)
+    inside = F.try_divide(F.sum(F.col("pos") * F.col("neg")), pairs)
+    # The sums are of whole numbers; only their size can cost the last digits.
+    return placed.groupBy(*by, "w_index").agg((low * (1 - 1e-12)).alias("low"), ((low + inside) * (1 + 1e-12)).alias("high"))
+
+
+def leading_vectors(df: DataFrame, label: str, cols: Sequence[str], grid: Sequence[Sequence[float]], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., w_index): the vectors that may have the highest AUC of their group, ties included.
+
+    Round by round the bins get finer, and vectors whose upper bound is below the best lower one drop out.
+    """
+    by, spark = list(by), df.sparkSession
+    labelled = df.where(F.col(label).isNotNull()).select(*by, label, *cols)
+    share = min(1.0, BIN_ROWS / max(labelled.count(), 1))
+    drawn = labelled.sample(fraction=share, seed=11).select(*[F.col(c).cast("double") for c in cols]).na.drop().toPandas().to_numpy(dtype=float)
+    schema = T.StructType([*labelled.schema.fields[: len(by)], T.StructField("w_index", T.IntegerType())])
+    left = {i: tuple(ws) for i, ws in enumerate(grid)}
+    bins, kept = BINS, None
+    while len(drawn):
+        mixes = np.stack([np.quantile(reduce(add, [drawn[:, j] * w for j, w in enumerate(ws)]), np.arange(1, bins) / bins) for ws in left.values()])
+        bounds = auc_bounds(labelled, label, cols, left, mixes, by).collect()  # groups times vectors
+        best: dict[tuple, float] = {}
+        for r in bounds:
+            k = tuple(r[c] for c in by)
+            best[k] = max(best.get(k, -1.0), r["low"] if r["low"] is not None else -1.0)
+        kept = [(*[r[c] for c in by], r["w_index"]) for r in bounds if r["high"] is not None and r["high"] >= best[tuple(r[c] for c in by)]]
+        single = [tuple(r[c] for c in by) for r in bounds if r["high"] is None]  # one class only: nothing to compare
+        kept += [(*k, i) for k in dict.fromkeys(single) for i in left]
+        fewer = {i: left[i] for i in sorted({r[-1] for r in kept})}
+        if len(kept) <= len(best) or bins >= MOST_BINS or (len(fewer) == len(left) and bins > BINS):
+            break
+        left, bins = fewer, bins * FINER
+    if kept is None:
+        kept = []
+    return spark.createDataFrame(kept, schema)
+
+
+def best_vector(df: DataFrame, label: str, cols: Sequence[str], grid: Sequence[Sequence[float]], by: Sequence[str] = ()) -> DataFrame:
+    """What ``best_of(grid_auc(...))`` gives, with only the leading vectors graded exactly."""
+    return best_of(grid_auc(df, label, cols, grid, by, leading_vectors(df, label, cols, grid, by)), by)
+
+
 def _neighbours(center: Sequence[float], step: float, cap: float) -> list[tuple[float, ...]]:
     """Vectors that shift ``step`` of weight between two models, inside [0, cap]."""
     out = {tuple(round(w, 12) for w in center)}
@@ -159,8 +256,8 @@ def capped_weights(
     """Rank-blend weights in [0, cap] with sum 1: a coarse simplex grid, then local moves.
 
     A move that helps is followed by moves of the same size; when none helps, the size halves,
-    until no neighbour at the smallest size, at most ``step``, is better. Each round grades its
-    whole grid in one job; only the best row reaches the driver. ``parts`` grows until the grid
+    until no neighbour at the smallest size, at most ``step``, is better. Each round bounds its
+    whole grid by counts and grades the leading vectors; only the best row reaches the driver. ``parts`` grows until the grid
     has a vector within the cap; there is none at all if ``cap * len(cols) < 1``.
     """
     if cap * len(cols) < 1 - 1e-9:
@@ -170,7 +267,7 @@ def capped_weights(
     ranks = rank_norm(df.where(F.col(label).isNotNull()), key, cols).join(df.select(key, label), key).persist()
     size, best, score = 1.0 / parts, None, -1.0
     while True:
-        top = best_of(grid_auc(ranks, label, cols, grid)).first()
+        top = best_vector(ranks, label, cols, grid).first()
         if best is None or top["auc"] > score:
             best, score = tuple(top[f"w_{c}"] for c in cols), top["auc"]
         elif size <= step:

@@ -62,14 +62,24 @@ class Trend:
     min_rows: int = 3
 
 
+@dataclass(frozen=True)
+class Distinct:
+    """Number of distinct values of a column among the rows where a condition holds, as an extra column."""
+
+    column: str
+    where: str | None = None
+
+
 @dataclass
 class _Aggregate:
     """An output column: SQL text, or a Column given by the caller. Text keeps the building of
-    plans with thousands of aggregates cheap."""
+    plans with thousands of aggregates cheap. ``distinct``: the condition (or "") of a count of the source's
+    distinct values, which goes its own way."""
 
     name: str
     value: Column | str
     source: str = ""
+    distinct: str | None = None
 
     def column(self) -> Column:
         if isinstance(self.value, str):
@@ -154,7 +164,7 @@ def _share_columns(prefix, part, cond, categories, binary, stats) -> list[_Aggre
 def _slice_columns(prefix, s: Slice, cond, num, num_stats, categories, binary, cat_stats) -> list[_Aggregate]:
     wanted = s.num if s.num is not None else {c: num_stats for c in num}
     out = [
-        _Aggregate(_name(prefix, s.name, c, how), stat_sql(how, _quoted(c), cond), c)
+        _Aggregate(_name(prefix, s.name, c, how), stat_sql(how, _quoted(c), cond), c, (cond or "") if how == "nunique" else None)
         for c, stats in wanted.items()
         for how in stats
     ]
@@ -166,8 +176,43 @@ def _slice_columns(prefix, s: Slice, cond, num, num_stats, categories, binary, c
 
 
 def _aggregate(df: DataFrame, key: str, columns: Sequence[_Aggregate]) -> DataFrame:
-    """One groupBy, so one scan and one shuffle, however many columns."""
-    return df.groupBy(key).agg(*[c.column() for c in columns]) if columns else df.select(key).distinct()
+    """One groupBy, so one scan and one shuffle, however many columns; numbers of distinct values are counted
+    beside it, where Spark would otherwise copy every row once per column."""
+    plain = [c for c in columns if c.distinct is None]
+    out = df.groupBy(key).agg(*[c.column() for c in plain]) if plain else df.select(key).distinct()
+    counted = [c for c in columns if c.distinct is not None]
+    if not counted:
+        return out
+    numbers = distinct_counts(df, key, [(c.name, c.source, c.distinct) for c in counted])
+    joined = out.join(numbers, key, "left").na.fill(0, [c.name for c in counted])
+    return joined.select(key, *[_quoted(c.name) for c in columns])
+
+
+def distinct_counts(df: DataFrame, key: str, wanted: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """(key, name...): how many distinct values a column has among the rows where a condition holds ("" for all).
+    ``wanted`` rows are (name, column, condition).
+
+    Long form: (key, column, value) with one bit per condition that some row with the value fulfils, combined
+    before the shuffle; then one count per name. Entities without any value are left out.
+    """
+    cols = list(dict.fromkeys(c for _, c, _ in wanted))
+    conditions = {c: list(dict.fromkeys(w for _, x, w in wanted if x == c)) for c in cols}
+    cells = []
+    for i, c in enumerate(cols):
+        value = _quoted(c)
+        if df.schema[c].dataType.typeName() in ("double", "float"):
+            value = f"({value} + 0.0D)"  # one zero
+        bits = [f"if({w or 'true'}, {1 << (b % 62)}L, 0L)" for b, w in enumerate(conditions[c])]
+        for first in range(0, len(bits), 62):
+            mask = " + ".join(f"coalesce({b}, 0L)" for b in bits[first : first + 62])
+            cells.append(f"struct({i} AS _var, {first // 62} AS _word, cast({value} AS string) AS _value, {mask} AS _mask)")
+    long = df.select(key, F.expr(f"inline(array({', '.join(cells)}))")).where("_value IS NOT NULL AND _mask <> 0")
+    present = long.groupBy(key, "_var", "_word", "_value").agg(F.expr("bit_or(_mask) AS _mask"))
+    names = []
+    for name, c, w in wanted:
+        b = conditions[c].index(w)
+        names.append(F.expr(f"count_if(_var = {cols.index(c)} AND _word = {b // 62} AND _mask & {1 << (b % 62)}L <> 0) AS `{name}`"))
+    return present.groupBy(key).agg(*names)
 
 
 def ranked(df: DataFrame, key: str, order: Sequence[str], newest_first: bool, k: int) -> DataFrame:
@@ -189,7 +234,7 @@ def rollup(
     cat_stats: Sequence[str] = CAT_STATS,
     decays: Sequence[Decay] = (),
     trends: Sequence[Trend] = (),
-    extra: Mapping[str, Column | str] | None = None,
+    extra: Mapping[str, Column | str | Distinct] | None = None,
 ) -> DataFrame:
     """Roll child rows up to one row per ``key`` (rows without a key are left out).
 
@@ -210,7 +255,8 @@ def rollup(
     for t in trends:
         fused += [_Aggregate(_name(prefix, c, "TREND"), trend_slope(c, t.time, t.min_rows), c) for c in t.cols]
     for name, value in (extra or {}).items():
-        fused.append(_Aggregate(name, value))
+        counted = isinstance(value, Distinct)
+        fused.append(_Aggregate(name, "", value.column, value.where or "") if counted else _Aggregate(name, value))
 
     out = _aggregate(rows, key, fused) if fused or not by_rank else None
     for (order, newest), group in by_rank.items():

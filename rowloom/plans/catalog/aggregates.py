@@ -213,6 +213,22 @@ def nunique_any(spark, d):
     return rounded(rollup.rollup(instalments(spark, d), "id", "VER", slices=[Slice(num=wanted)]))
 
 
+@query(
+    "nunique_slices",
+    f"""WITH {INSTALMENTS} SELECT id, count(DISTINCT version) AS VER_VERSION_NUNIQUE, count(DISTINCT dpd) AS VER_DPD_NUNIQUE,
+        max(dpd) AS VER_DPD_MAX, count(DISTINCT version) FILTER (WHERE dpd > 0) AS VER_LATE_VERSION_NUNIQUE,
+        count(DISTINCT dpd) FILTER (WHERE dpd > 0) AS VER_LATE_DPD_NUNIQUE, count(DISTINCT dpd) FILTER (WHERE version > 2) AS VERSIONS
+        FROM instalments GROUP BY id""",
+)
+def nunique_slices(spark, d):
+    """Several counts of distinct values, with conditions, beside other statistics."""
+    slices = [
+        Slice(num={"version": ["nunique"], "dpd": ["nunique", "max"]}),
+        Slice("LATE", "dpd > 0", num={"version": ["nunique"], "dpd": ["nunique"]}),
+    ]
+    return rollup.rollup(instalments(spark, d), "id", "VER", slices=slices, extra={"VERSIONS": rollup.Distinct("dpd", "version > 2")})
+
+
 @query(
     "pivot_count",
     """SELECT l_orderkey AS loan, min(l_linenumber) AS BB_NUMBER_MIN, max(l_linenumber) AS BB_NUMBER_MAX, count(*) AS BB_NUMBER_SIZE,

@@ -141,6 +141,16 @@ def group_folds(spark, d):
     return table(spark, d, "orders").select("o_orderkey", "o_custkey", folds.group_fold("o_custkey").alias("fold"))
 
 
+@query(
+    "balanced_group_folds",
+    """WITH s AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey),
+       p AS (SELECT *, (row_number() OVER (ORDER BY n DESC, md5(concat(o_custkey, '-42')), o_custkey) - 1) % 10 AS turn FROM s)
+       SELECT o_custkey, n, least(turn, 9 - turn)::INT AS fold FROM p""",
+)
+def balanced_group_folds(spark, d):
+    return folds.balanced_group_folds(table(spark, d, "orders"), "o_custkey")
+
+
 _KNN = ["chars", "spaces", "lines", "e_share"]
 
 

@@ -71,22 +71,28 @@ def fixed_blend(spark, d):
     )
 
 
-def _grid_values(grid) -> str:
-    return ", ".join(f"({i}, " + ", ".join(f"{w!r}::DOUBLE" for w in ws) + ")" for i, ws in enumerate(grid))
+#: The weight vectors by their rules: even steps of two, the nested steps of three, and fifths within a cap.
+_PAIRS_SQL = "SELECT a AS w_index, a * 0.05::DOUBLE AS w_m1, 1 - a * 0.05::DOUBLE AS w_m2 FROM range(21) t(a)"
+_TRIPLES_SQL = """SELECT row_number() OVER (ORDER BY a, b) - 1 AS w_index, f AS w_m1, s AS w_m2, 1 - f - s AS w_m3 FROM (
+      SELECT a, b, f, CASE WHEN n = 0 THEN 0 ELSE b * (rest / n) END AS s FROM (
+        SELECT *, unnest(range(n + 1)) AS b FROM (
+          SELECT a, a * 0.1::DOUBLE AS f, 1 - a * 0.1::DOUBLE AS rest, floor((1 - a * 0.1::DOUBLE) / 0.1::DOUBLE)::INT AS n FROM range(11) t(a))))"""
+_CAPPED_SQL = """SELECT row_number() OVER (ORDER BY a, b) - 1 AS w_index, a / 5.0::DOUBLE AS w_m1, b / 5.0::DOUBLE AS w_m2, (5 - a - b) / 5.0::DOUBLE AS w_m3
+      FROM range(4) t(a), range(4) u(b) WHERE 5 - a - b BETWEEN 0 AND 3"""
 
 
-def _graded(grid, cols, source, by: str = "") -> str:
+def _graded(grid: str, cols, source, by: str = "") -> str:
     weights = ", ".join(f"w_{c}" for c in cols)
     mixed = " + ".join(f"{c} * w_{c}" for c in cols)
     keys = (by + ", " if by else "") + f"w_index, {weights}"
-    return f"""grid(w_index, {weights}) AS (VALUES {_grid_values(grid)}),
+    return f"""grid AS ({grid}),
     mixed AS (SELECT {source}.*, w_index, {weights}, {mixed} AS mix FROM {source}, grid),
     graded AS (SELECT * FROM {_auc('mixed', 'mix', keys)})"""
 
 
 @query(
     "weight_grid_search",
-    f"""WITH {SCORES}, {_graded(blend.triple_grid(), MODELS, 'scores')}
+    f"""WITH {SCORES}, {_graded(_TRIPLES_SQL, MODELS, 'scores')}
     SELECT w_index, {', '.join(f'round(w_{m}, 6) AS w_{m}' for m in MODELS)}, round(auc, 6) AS auc FROM graded""",
 )
 def weight_grid_search(spark, d):
@@ -98,13 +104,12 @@ _PAIR = ["m1", "m2"]
 
 @query(
     "weight_search_by_fold",
-    f"""WITH {SCORES}, {_graded(blend.pair_grid(), _PAIR, 'scores', 'fold')},
+    f"""WITH {SCORES}, {_graded(_PAIRS_SQL, _PAIR, 'scores', 'fold')},
     best AS (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY auc DESC, w_index) AS turn FROM graded)
     SELECT fold, w_index, round(w_m1, 6) AS w_m1, round(w_m2, 6) AS w_m2, round(auc, 6) AS auc FROM best WHERE turn = 1""",
 )
 def weight_search_by_fold(spark, d):
-    graded = blend.grid_auc(scores(spark, d), "target", _PAIR, blend.pair_grid(), ["fold"])
-    return rounded(blend.best_of(graded, ["fold"]))
+    return rounded(blend.best_vector(scores(spark, d), "target", _PAIR, blend.pair_grid(), ["fold"]))
 
 
 _CAPPED = blend.simplex_grid(3, 5, 0.6)
@@ -112,7 +117,7 @@ _CAPPED = blend.simplex_grid(3, 5, 0.6)
 
 @query(
     "constrained_rank_blend",
-    f"""WITH {SCORES}, {_RANKS}, {_graded(_CAPPED, MODELS, 'ranks')},
+    f"""WITH {SCORES}, {_RANKS}, {_graded(_CAPPED_SQL, MODELS, 'ranks')},
     best AS (SELECT *, row_number() OVER (ORDER BY auc DESC, w_index) AS turn FROM graded)
     SELECT w_index, {', '.join(f'round(w_{m}, 6) AS w_{m}' for m in MODELS)}, round(auc, 6) AS auc FROM best WHERE turn = 1""",
 )
@@ -120,7 +125,7 @@ def constrained_rank_blend(spark, d):
     s = scores(spark, d)
     # The search reads the ranks several times.
     ranks = fitted(rank.rank_norm(s, "id", MODELS).join(s.select("id", "target"), "id"))
-    return rounded(blend.best_of(blend.grid_auc(ranks, "target", MODELS, _CAPPED)))
+    return rounded(blend.best_vector(ranks, "target", MODELS, _CAPPED))
 
 
 @query("constrained_rank_blend_refined")

@@ -530,7 +530,7 @@ def _child6(df: DataFrame, table: str, numeric: list[str], text: list[str]) -> D
     ]
     extra = {}
     if table == "bureau":
-        extra["BURO_CREDIT_TYPE_NUNIQUE"] = R.stat("nunique", "CREDIT_TYPE")
+        extra["BURO_CREDIT_TYPE_NUNIQUE"] = R.Distinct("CREDIT_TYPE")
         extra["BURO_OVERDUE_EVER"] = R.stat("any", "CREDIT_DAY_OVERDUE")
     if table == "previous":
         extra["PREV_APPROVAL_RATE"] = F.avg(E.flag(F.col("NAME_CONTRACT_STATUS") == "Approved"))
@@ -547,7 +547,7 @@ def _child6(df: DataFrame, table: str, numeric: list[str], text: list[str]) -> D
         slices += [Slice(f"LAST{k}", last_k=k, order=order, num=LAST6, shares=False) for k in (3, 5, 10, 30)]
         if "NUM_INSTALMENT_VERSION" in df.columns:
             for name, how in (("NUNIQUE", "nunique"), ("MAX", "max"), ("MEAN", "mean")):
-                extra[f"INS_VERSION_{name}"] = R.stat(how, "NUM_INSTALMENT_VERSION")
+                extra[f"INS_VERSION_{name}"] = R.Distinct("NUM_INSTALMENT_VERSION") if how == "nunique" else R.stat(how, "NUM_INSTALMENT_VERSION")
     decay_cols, rate = DECAY6[table]
     trends = [Trend(TREND6[table], time)] if TREND6[table] else []
     out = R.rollup(

@@ -111,3 +111,36 @@ def test_blend_with_absent_parts(skewed):
     assert blend.blend(df, "id", {"zz": 1.0}) is None
     with pytest.raises(ValueError):
         blend.candidates(df, "id", [("a", {"zz": 1.0}, "raw")])
+
+
+def _scored(spark, n, seed=8):
+    rng = np.random.default_rng(seed)
+    pdf = pd.DataFrame({"id": np.arange(n), "y": (rng.random(n) < 0.2).astype(int), "fold": rng.integers(0, 3, n)})
+    for c, strength in (("p", 1.0), ("q", 0.8), ("r", 0.2)):
+        pdf[c] = np.round(pdf.y * strength + rng.normal(size=n), 4 if c == "q" else 12)
+    return spark.createDataFrame(pdf)
+
+
+@pytest.mark.parametrize("by", [(), ("fold",)])
+def test_leading_vectors_hold_the_winner(spark, by, monkeypatch):
+    df = _scored(spark, 3000)
+    grid = blend.triple_grid()
+    for bins in (4, 256):
+        monkeypatch.setattr(blend, "BINS", bins)
+        whole = {tuple(r) for r in blend.best_of(blend.grid_auc(df, "y", ["p", "q", "r"], grid, by), by).collect()}
+        assert {tuple(r) for r in blend.best_vector(df, "y", ["p", "q", "r"], grid, by).collect()} == whole
+    edges = np.tile(np.linspace(-2, 2, 9), (len(grid), 1))
+    bounds = blend.auc_bounds(df, "y", ["p", "q", "r"], dict(enumerate(grid)), edges, by).join(blend.grid_auc(df, "y", ["p", "q", "r"], grid, by), [*by, "w_index"])
+    assert bounds.where("low <= auc AND auc <= high").count() == len(grid) * (3 if by else 1)
+
+
+def test_few_vectors_are_graded_exactly(spark):
+    """Of 60 vectors over 200,000 rows at most two reach the stage that shuffles a row per vector; ties all do."""
+    df = _scored(spark, 200_000)
+    assert blend.leading_vectors(df, "y", ["p", "q", "r"], blend.triple_grid()).count() <= 2
+    same = blend.leading_vectors(df, "y", ["p", "q"], [(1.0, 0.0), (0.5, 0.0), (0.2, 0.8), (0.0, 1.0)])
+    assert sorted(r[0] for r in same.collect()) in ([0, 1], [2])
+    one_class = df.withColumn("y", F.lit(1))
+    assert blend.best_vector(one_class.limit(50), "y", ["p", "q"], [(1.0, 0.0), (0.0, 1.0)]).first()["auc"] is None
+    nothing, two = df.limit(0), [(1.0, 0.0), (0.0, 1.0)]
+    assert blend.best_vector(nothing, "y", ["p", "q"], two).collect() == blend.best_of(blend.grid_auc(nothing, "y", ["p", "q"], two)).collect()

@@ -90,6 +90,23 @@ def test_all_slices_take_one_shuffle(child):
     assert plan.count("Aggregate") == 1 and "Join" not in plan
 
 
+def test_distinct_counts_beside_a_wide_rollup(spark):
+    data = [(1, 0.0, "a", 1), (1, -0.0, "b", 2), (1, 2.5, None, 3), (2, None, "a", 1), (2, float("nan"), "a", 5), (3, None, None, 1), (None, 1.0, "z", 1)]
+    df = spark.createDataFrame(data, "id int, v double, c string, t int")
+    slices = [Slice(num={"v": ["nunique", "max"], "c": ["nunique"]}), Slice("L", "t >= 2", num={"v": ["nunique"], "c": ["nunique", "size"]})]
+    out = R.rollup(df, "id", "P", slices=slices, extra={"X": R.Distinct("t", "c = 'a'")})
+    assert out.columns == ["id", "P_V_NUNIQUE", "P_V_MAX", "P_C_NUNIQUE", "P_L_V_NUNIQUE", "P_L_C_NUNIQUE", "P_L_C_SIZE", "X"]
+    got = {r[0]: tuple(r[1:2] + r[3:6] + r[7:]) for r in out.collect()}
+    assert got == {1: (2, 2, 2, 1, 1), 2: (1, 1, 1, 1, 2), 3: (0, 0, 0, 0, 0)}
+    many = [Slice(f"S{i}", f"t >= {i}", num={"v": ["nunique", "mean", "max", "min"], "c": ["nunique"]}) for i in range(70)]
+    wide = R.rollup(df, "id", "P", slices=many)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    row = wide.where("id = 1").first()
+    assert [row[f"P_S{i}_V_NUNIQUE"] for i in (0, 2, 3, 4, 69)] == [2, 2, 1, 0, 0]
+    assert [row[f"P_S{i}_C_NUNIQUE"] for i in (0, 2, 3, 69)] == [2, 1, 0, 0]
+
+
 def test_two_level_and_pivot(spark):
     df = spark.createDataFrame([(1, 1, 2.0, "x"), (1, 1, 4.0, "y"), (1, 2, 9.0, "x")], "id int, loan int, v double, s string")
     out = R.two_level(df, "id", "loan", {"PL_V": ("v", "mean")}).first()
