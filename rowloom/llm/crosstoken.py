@@ -40,9 +40,9 @@ from rowloom.llm import pieces
 from rowloom.llm.arrowtext import appended, blocks, list_array, text_array, text_bytes
 from rowloom.session import stored
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Units that go through A's library at once, and units whose ids a worker keeps.
-TOGETHER, KEPT = 5_000, 250_000
+TOGETHER, KEPT = 5_000, 100_000
 
 #: White space before which no unit is cut: what a split by words could join to the space.
 _WHITE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -58,6 +58,11 @@ _BLOCK = (
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
+def _trimmed(table: dict[str, bytes], wanted: list[str]) -> dict[str, bytes]:
+    """``table``, or if it would grow too large only what is wanted now: frequent words come in every block."""
+    return table if len(table) + len(wanted) <= KEPT else {w: table[w] for w in wanted if w in table}
+
+
 class Pair:
     """Both tokenizers with the bytes of all their ids and the identity map."""
 
@@ -91,15 +96,13 @@ class Pair:
 
     def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A and how many each unit has, ids of B and how many."""
+        marked = [pieces.MARK + u.replace(" ", pieces.MARK) for u in units]
+        self.a_table, self.b_table = (_trimmed(t, names) for t, names in ((self.a_table, units), (self.b_table, marked)))
         new = [u for u in units if u not in self.a_table]
-        if len(self.a_table) + len(new) > KEPT:
-            self.a_table.clear()
-            new = units
         for at in range(0, len(new), TOGETHER):
             some = new[at : at + TOGETHER]
             ids = [np.array(e.ids, np.int32).tobytes() for e in self.first.encode_batch_fast([" " + u for u in some], add_special_tokens=False)]
             self.a_table.update(zip(some, ids))
-        marked = [pieces.MARK + u.replace(" ", pieces.MARK) for u in units]
         out = []
         for raw in ([self.a_table[u] for u in units], self.second.ids_of(marked, self.b_table)):
             out += [np.frombuffer(b"".join(raw), np.int32).astype(np.int64), np.array([len(r) >> 2 for r in raw], np.int64)]
