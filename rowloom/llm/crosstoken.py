@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom.llm import pieces
-from rowloom.llm.arrowtext import appended, blocks, list_array, text_array, text_bytes
+from rowloom.llm.arrowtext import appended, blocks, text_array, text_bytes
+from rowloom.llm.backoff import packed, unpacked
 from rowloom.session import stored
 
 BLOCK_BYTES = 2 << 20
@@ -49,10 +50,12 @@ _WHITE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{202
 _ODD = rf" [{_WHITE}]|^ | $|^$"
 _CUT = re.compile(r"(?<! ) (?=\S)")
 
+#: What a block remembers of its units, as packed 32-bit numbers: Spark only carries it.
+_PACKED = ("n_units", "unit", "times", "n_same", "same", "n_odd", "odd")
 _PER_DOC = ("n_a", "n_b", "n_groups", "n_links")
 _BLOCK = (
     "block long, doc_id array<long>, " + ", ".join(f"{name} array<long>" for name in _PER_DOC) + ", digest array<string>, "
-    "n_units array<int>, unit array<int>, times array<int>, n_same array<int>, same array<int>, n_odd array<int>, odd array<int>, "
+    "n_units binary, unit binary, times binary, n_same binary, same binary, n_odd binary, odd binary, "
     "pair array<long>, pair_count array<long>, vector array<long>"
 )
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -250,6 +253,8 @@ def aligned(docs: DataFrame, a: str, b: str) -> DataFrame:
                     arrays.append(pa.array([value], pa.int64()))
                 elif value is None:
                     arrays.append(pa.array([None], field.type))
+                elif field.name in _PACKED:
+                    arrays.append(pa.array([packed(value.astype(np.int32))], pa.binary()))
                 else:
                     inner = value if isinstance(value, pa.Array) else pa.array(value, field.type.value_type)
                     arrays.append(pa.ListArray.from_arrays(pa.array([0, len(inner)], pa.int32()), inner))
@@ -326,15 +331,16 @@ def scored(docs: DataFrame, a: str, b: str) -> DataFrame:
 
     asked = table.where("block IS NOT NULL").select("block", F.explode("pair").alias("pair"))
     told = asked.join(odd, "pair").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("pair", "n"))).alias("told"))
-    fields = ["doc_id", *_PER_DOC, "digest", "n_units", "unit", "times", "n_same", "same", "n_odd", "odd"]
+    fields = ["doc_id", *_PER_DOC, "digest", *_PACKED]
     joined = table.where("block IS NOT NULL").join(told, "block", "left").select(*fields, F.col("told.pair").alias("pair"), F.col("told.n").alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                block = {name: batch.column(name)[i].values for name in batch.schema.names}
-                number = {name: x.to_numpy(zero_copy_only=False) for name, x in block.items() if x is not None and name not in ("doc_id", "digest")}
-                pair, n = number.get("pair", np.zeros(0, np.int64)), number.get("n", np.zeros(0, np.int64))
+                number = {name: unpacked(batch.column(name)[i].as_py(), np.int32) for name in _PACKED}
+                block = {name: batch.column(name)[i].values for name in ("doc_id", "digest", *_PER_DOC)}
+                told = [batch.column(name)[i].values for name in ("pair", "n")]
+                pair, n = (np.zeros(0, np.int64) if x is None else x.to_numpy(zero_copy_only=False) for x in told)
                 twin = same[pair >> 32] == (pair & 0xFFFFFFFF)
                 n = np.where(twin, regular[pair >> 32], n)
                 top = (n == best[pair & 0xFFFFFFFF]).astype(np.int64)
