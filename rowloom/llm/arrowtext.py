@@ -5,12 +5,13 @@ Every function works on whole texts. A null text counts as empty. Words never re
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,6 +105,41 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(value + mixed((ends - starts).astype(np.uint64)))
 
 
+def word_dictionary(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.DictionaryArray:
+    """The spans' bytes with an exact dictionary of the block."""
+    width = ends - starts
+    begin = np.cumsum(width) - width
+    flat = data[np.arange(int(width.sum())) + np.repeat(starts - begin, width)]
+    offsets = np.append(begin, width.sum()).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(flat)]).dictionary_encode()
+
+
+def word_numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Equal numbers for spans of equal bytes."""
+    return word_dictionary(data, starts, ends).indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def span_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of BLAKE2b of each span as two longs: for names that hold in the whole corpus."""
+    raw, digest = data.tobytes(), hashlib.blake2b
+    joined = b"".join([digest(raw[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())])
+    both = np.frombuffer(joined, np.int64).reshape(-1, 2)
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
+
+
+def document_key(id: str, text: str) -> Column:
+    """128 bits of the MD5 of id and text, nulls apart from empty texts: the name of a document, however many."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in (id, text)]
+    return F.unhex(F.md5(F.concat_ws("\n", *parts)))
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with as many underscores as it takes to clash with no column."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def code_point_starts(data: np.ndarray) -> np.ndarray:
     """True where a byte begins a code point."""
     return (data & 0xC0) != 0x80

@@ -1,6 +1,7 @@
 """Deletion of repeated runs of lines by prefix doubling over line ids.
 
-Documents are rows of line ids (a 64-bit hash of the line's bytes; its length goes along and must agree too).
+Documents are rows of line ids: 128 bits of BLAKE2b of the line's bytes, as two longs (class, twin). Longer
+classes are named by two hashes of such pairs, so names never rest on 64 bits.
 Level k puts two places into one class if the 2**k lines from there on agree; level k + 1 joins each place with
 the one 2**k lines further on. A place that is alone in its class can repeat nothing longer and leaves, so
 levels shrink quickly. No suffix order and no longest common prefixes are computed: classes have names, not
@@ -15,8 +16,8 @@ Every deleted line has an equal line that stays, earlier in that order.
 
 Null texts have no lines and stay null; an empty text has one line without words. Rows alike in id and text
 count as one document and stay alike. A null id comes before all others. Very long documents are cut into
-rows of lines before any shuffle; hot lines meet only as counts and in joins that Spark can split. Extra
-columns stay as they are, unless they bear the name of an added column. Empty tables give empty tables.
+rows of lines before any shuffle; hot lines meet only as counts, and in joins their places are spread over salts.
+Extra columns stay as they are, unless they bear the name of an added column. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.llm.arrowtext import SPACED, blocks, list_array, span_hashes, spans, text_array, text_bytes
+from rowloom.llm.arrowtext import SPACED, blocks, document_key, free_name, list_array, span_digests, spans, text_array, text_bytes
+from rowloom.operators.joins import HOT_SHARE, skew_join
 from rowloom.session import stored
 
 #: A run of this many words is worth deleting.
@@ -67,7 +69,7 @@ def light_windows(n_words: np.ndarray, first: np.ndarray, least: int) -> tuple[n
 
 def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, key) to one row per line: class, size, and the numbers of lines of the windows from there."""
-    schema = "key long, doc_id long, line int, class long, size long, windows array<int>"
+    schema = "key binary, doc_id long, line int, class long, twin long, windows array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -84,43 +86,53 @@ def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             at, count = pairs >> 32, pairs & 0xFFFFFFFF
             windows = list_array(count.astype(np.int32), np.bincount(at, minlength=len(starts)), pa.int32())
             rows = pa.array(text)
+            name, twin = span_digests(data, starts, ends)
             yield pa.RecordBatch.from_arrays(
-                [block.column("key").take(rows), block.column("doc_id").take(rows), pa.array((np.arange(len(text)) - first).astype(np.int32)), pa.array(span_hashes(data, starts, ends).view(np.int64)), pa.array(ends - starts), windows],
-                names=["key", "doc_id", "line", "class", "size", "windows"],
+                [block.column("key").take(rows), block.column("doc_id").take(rows), pa.array((np.arange(len(text)) - first).astype(np.int32)), pa.array(name), pa.array(twin), windows],
+                names=["key", "doc_id", "line", "class", "twin", "windows"],
             )
 
     return docs.select("key", "doc_id", "text").mapInArrow(run, schema)
 
 
+def _hot(counted: DataFrame, keys: list[str], rows: DataFrame) -> DataFrame:
+    """The keys that hold more than 1 / HOT_SHARE of all rows: HOT_SHARE at most."""
+    total = rows.count()
+    return counted.where(F.col("n") * HOT_SHARE > total).select(*keys)
+
+
 def _shared(places: DataFrame) -> DataFrame:
     """The places whose class holds two or more."""
-    twice = places.groupBy("class", "size").agg(F.count("*").alias("n")).where("n > 1").select("class", "size")
-    return places.join(twice, ["class", "size"]).select("key", "line", "class", "size")
+    keys = ["class", "twin"]
+    twice = stored(places.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1"), "classes")
+    return skew_join(places, twice.select(*keys), keys, "left_semi", _hot(twice, keys, places)).select("key", "line", *keys)
 
 
 def later_copies(table: DataFrame) -> DataFrame:
     """From the table of ``lines``: (key, line, n) of the windows that repeat an earlier one."""
     wanted = table.select("key", "doc_id", "line", F.explode("windows").alias("n"))
-    level = stored(_shared(table.select("key", "line", "class", "size")), "level")
+    level = stored(_shared(table.select("key", "line", "class", "twin")), "level")
     found, length = None, 1
     while True:
         # Windows of length .. 2 * length - 1 lines: the class at the start and the one that reaches the end.
         own = wanted.where((F.col("n") >= length) & (F.col("n") < 2 * length))
-        left = level.select("key", "line", F.col("class").alias("c1"), F.col("size").alias("s1"))
-        right = level.select("key", (F.col("line")).alias("tail"), F.col("class").alias("c2"), F.col("size").alias("s2"))
-        both = own.withColumn("tail", F.expr(f"line + n - {length}").cast("int")).join(left, ["key", "line"]).join(right, ["key", "tail"])
+        left = level.select("key", "line", F.col("class").alias("c1"), F.col("twin").alias("s1"))
+        right = level.select("key", (F.col("line")).alias("tail"), F.col("class").alias("c2"), F.col("twin").alias("s2"))
+        both = stored(own.withColumn("tail", F.expr(f"line + n - {length}").cast("int")).join(left, ["key", "line"]).join(right, ["key", "tail"]), "windows")
         interval = ["n", "c1", "c2", "s1", "s2"]
         place = F.struct("doc_id", "key", "line")
-        firsts = both.groupBy(*interval).agg(F.min(place).alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
-        copies = both.join(firsts, interval).where(
+        firsts = stored(both.groupBy(*interval).agg(F.min(place).alias("first"), F.count("*").alias("n_places")).where("n_places > 1"), "firsts")
+        hot = _hot(firsts.withColumnRenamed("n", "__n").withColumnRenamed("n_places", "n"), ["__n", *interval[1:]], both).withColumnRenamed("__n", "n")
+        copies = skew_join(both, firsts.drop("n_places"), interval, "inner", hot).where(
             F.expr("NOT (key = first.key AND line < first.line + n)")
         ).select("key", "line", "n")
         copies = stored(copies, "copies")
         found = copies if found is None else found.union(copies)
         if wanted.where(F.col("n") >= 2 * length).limit(1).count() == 0:
             return found
-        ahead = level.select("key", (F.col("line") - length).alias("line"), F.col("class").alias("c2"), F.col("size").alias("s2"))
-        doubled = level.join(ahead, ["key", "line"]).select("key", "line", F.xxhash64("class", "c2").alias("class"), (F.col("size") + F.col("s2")).alias("size"))
+        ahead = level.select("key", (F.col("line") - length).alias("line"), F.col("class").alias("c2"), F.col("twin").alias("s2"))
+        names = F.xxhash64("class", "twin", "c2", "s2").alias("class"), F.xxhash64(F.lit(length), "s2", "c2", "twin", "class").alias("twin")
+        doubled = level.join(ahead, ["key", "line"]).select("key", "line", *names)
         level = stored(_shared(doubled), "level")
         if level.limit(1).count() == 0:
             return found
@@ -130,14 +142,15 @@ def later_copies(table: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated runs taken out of ``text``, and the counts n_lines and n_removed."""
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    keyed = docs.select(*[f"`{c}`" for c in kept]).withColumn("__key", F.xxhash64("doc_id", "text"))
-    table = stored(lines(keyed.select(F.col("__key").alias("key"), "doc_id", "text"), min_words), "lines")
+    own, gone_ = free_name(kept, "__key"), free_name(kept, "__spans")
+    keyed = docs.select(*[f"`{c}`" for c in kept]).withColumn(own, document_key("doc_id", "text"))
+    table = stored(lines(keyed.select(F.col(own).alias("key"), "doc_id", "text"), min_words), "lines")
     if table.where("line = 0").groupBy("key").count().where("count > 1").limit(1).count():  # rows alike in id and text
         table = stored(table.dropDuplicates(["key", "line"]), "lines")
     copies = later_copies(table)
-    spans_ = copies.groupBy("key").agg(F.collect_set(F.struct("line", "n")).alias("__spans")).withColumnRenamed("key", "__key")
-    joined = keyed.join(spans_, "__key", "left")
-    fields = [f for f in keyed.schema.fields if f.name != "__key"]
+    spans_ = copies.groupBy("key").agg(F.collect_set(F.struct("line", "n")).alias(gone_)).withColumnRenamed("key", own)
+    joined = keyed.join(spans_, own, "left")
+    fields = [f for f in keyed.schema.fields if f.name != own]
     names = [f.name for f in fields]
     at = names.index("text")
     schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
@@ -179,4 +192,4 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             count = np.bincount(text, minlength=len(valid))
             yield pa.RecordBatch.from_arrays([*columns, pa.array(count), pa.array(np.bincount(text[gone], minlength=len(valid)))], names=[*names, "n_lines", "n_removed"])
 
-    return joined.select(*[f"`{n}`" for n in names], "__spans").mapInArrow(run, schema)
+    return joined.select(*[f"`{n}`" for n in names], gone_).mapInArrow(run, schema)

@@ -26,21 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from rowloom.llm.arrowtext import SPACED, appended, spans, text_array, text_bytes
+from rowloom.llm.arrowtext import SPACED, appended, spans, text_array, text_bytes, word_numbers
 
 RUN = T.StructType([T.StructField(name, T.LongType(), False) for name in ("start", "length", "period")])
 
 
-def word_numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Equal numbers for words of equal bytes."""
-    width = ends - starts
-    begin = np.cumsum(width) - width
-    flat = data[np.arange(int(width.sum())) + np.repeat(starts - begin, width)]
-    offsets = np.append(begin, width.sum()).astype(np.int64)
-    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
-    return words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-
-
 def classes(word: np.ndarray, text: np.ndarray, width: int = 63) -> list[np.ndarray]:
     """For k = 0, 1, ...: the class of the 2**k words from each place on, named by the rank of its first suffix.
 

@@ -8,8 +8,10 @@ long lists of frequent words are thus read only for documents in which two rare
 
 Words: A to Z are lower-cased, words are runs of digits, a to z and non-ASCII characters. Null texts have no
 words. A phrase is WINDOW consecutive words of an item; an item of fewer words (but not none) is one phrase.
-``key`` is a hash of a document's id and text, so that repeated rows and rows that share an id keep apart;
-rows alike in both have the same matches. Extra columns do not matter; empty tables give empty results.
+``key`` is 128 bits of a document's id and text, so that rows that share an id keep apart; rows alike in both have
+the same matches. Of equally rare terms the first in text order, then by place, goes first; the matches do not
+depend on it. Long texts are rows of postings like others. Extra columns stay in ``clean`` whatever their names
+and do not matter elsewhere; empty tables give empty results.
 
 Phrases come from the benchmark, whose tables are broadcast only if ``small`` has counted and measured them;
 beyond that the joins are shuffles with Spark's adaptive splitting of hot keys.
@@ -21,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rowloom.llm.arrowtext import document_key, free_name
 from rowloom.session import stored
 
 WINDOW = 10
@@ -65,7 +68,7 @@ def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
 
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """The index: (key, pos, term) of every occurrence of the given terms in (doc_id, text)."""
-    located = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.posexplode(_parts(F.col("text"))).alias("pos", "raw"))
+    located = docs.select(document_key("doc_id", "text").alias("key"), F.posexplode(_parts(F.col("text"))).alias("pos", "raw"))
     return located.select("key", "pos", _lowered(F.col("raw")).alias("term")).join(terms, "term", "left_semi")
 
 
@@ -109,16 +112,35 @@ def phrase_matches(index: DataFrame, phrases: DataFrame) -> DataFrame:
 
 
 def proximity_matches(index: DataFrame, phrases: DataFrame, reach: int) -> DataFrame:
-    """(phrase, key, pos): postings of the rarest term with every other term at most ``reach`` words away."""
-    ranked = stored(ranked_phrases(phrases, index), "ranked")
-    terms = ranked.select("phrase", F.col("order")[0]["term"].alias("term"), F.array_distinct(F.transform("order", lambda x: x["term"])).alias("terms"))
-    anchors = index.join(small(terms, F.length("phrase") * 2), "term").select("phrase", "key", "pos", F.size("terms").alias("n"), F.explode("terms").alias("term"), F.col("term").alias("anchor"))
-    alone = anchors.where("n = 1").select("phrase", "key", "pos")
-    others = anchors.where("term <> anchor").withColumn("block", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.floor(F.col("pos") / reach) + d)))
-    near = index.select("key", "term", F.col("pos").alias("at"), F.floor(F.col("pos") / reach).alias("block"))
-    met = others.join(near, ["key", "term", "block"]).where(F.abs(F.col("at") - F.col("pos")) <= reach)
-    whole = met.groupBy("phrase", "key", "pos", "n").agg(F.count_distinct("term").alias("found")).where("found = n - 1")
-    return alone.union(whole.select("phrase", "key", "pos")).distinct()
+    """(phrase, key, pos): postings of a phrase's rarest term with every other term at most ``reach`` words away.
+
+    As for phrases, the second rarest term is looked for first, in the three blocks of ``reach`` words around, and
+    the others only around what is left.
+    """
+    ranked = stored(ranked_phrases(phrases, index), "ranked").withColumn("id", F.xxhash64("phrase"))
+    if ranked.groupBy("id").count().where("count > 1").head(1):
+        raise ValueError("two phrases share a hash")
+    terms = ranked.select("id", "phrase", F.array_distinct(F.transform("order", lambda x: x["term"])).alias("terms"))
+    first = small(terms.select("id", F.col("terms")[0].alias("term"), F.get("terms", F.lit(1)).alias("term2")), F.lit(64))
+    anchors = index.join(first, "term").select("id", "key", "pos", "term2")
+    alone = anchors.where("term2 IS NULL").select("id", "key", "pos")
+    around = F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.floor(F.col("pos") / reach) + d)).alias("block")
+    placed = index.select("key", "term", F.col("pos").alias("at"), F.floor(F.col("pos") / reach).alias("block"))
+    close = F.abs(F.col("at") - F.col("pos")) <= reach
+
+    seconds = small(stored(terms.select(F.get("terms", F.lit(1)).alias("term")).where("term IS NOT NULL").distinct(), "seconds"), F.length("term"))
+    second = placed.join(seconds, "term", "left_semi").withColumnRenamed("term", "term2")
+    asked = anchors.where("term2 IS NOT NULL").select("id", "key", "pos", "term2", around)
+    pairs = stored(asked.join(second, ["key", "term2", "block"]).where(close).select("id", "key", "pos").distinct(), "pairs")
+
+    rest = small(terms.where("size(terms) > 2").select("id", F.slice("terms", 3, 1 << 20).alias("rest"), (F.size("terms") - 2).alias("n")), F.lit(256))
+    keys = small(stored(pairs.select("key").distinct(), "keys"), F.lit(16))
+    here = placed.join(keys, "key", "left_semi")
+    wanted = pairs.join(rest, "id").select("id", "key", "pos", "n", around, "rest").select("id", "key", "pos", "n", "block", F.explode("rest").alias("term"))
+    full = wanted.join(here, ["key", "term", "block"]).where(close).groupBy("id", "key", "pos", "n").agg(F.count_distinct("term").alias("found")).where("found = n")
+    short = pairs.join(small(terms.where("size(terms) = 2").select("id"), F.lit(8)), "id", "left_semi")
+    whole = alone.union(short).union(full.select("id", "key", "pos")).distinct()
+    return whole.join(small(terms.select("id", "phrase"), F.length("phrase") * 2), "id").select("phrase", "key", "pos")
 
 
 def covered(matches: DataFrame) -> DataFrame:
@@ -144,7 +166,7 @@ def found(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """(doc_id, key, n_words, n_hit, item_ids): every document with its hit words and the items found in it."""
     docs = docs.select("doc_id", "text")
-    sizes = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), n_words(F.col("text")).alias("n_words"))
+    sizes = docs.select("doc_id", document_key("doc_id", "text").alias("key"), n_words(F.col("text")).alias("n_words"))
     return sizes.join(small(found(docs, items, size)), "key", "left").select(
         "doc_id", "key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")
     )
@@ -152,5 +174,23 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
 
 def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """``docs`` without the documents that hold a phrase of an item."""
-    hit = small(found(docs.select("doc_id", "text"), items, size).select(F.col("key").alias("__key")))
-    return docs.join(hit, F.xxhash64(docs["doc_id"], docs["text"]) == F.col("__key"), "left_anti")
+    own = free_name(docs.columns, "__key")
+    hit = small(found(docs.select("doc_id", "text"), items, size).select(F.col("key").alias(own)))
+    return docs.join(hit, document_key("doc_id", "text") == F.col(own), "left_anti")
+
+
+def near(docs: DataFrame, items: DataFrame, reach: int, size: int = WINDOW) -> DataFrame:
+    """(doc_id, n_near, item_ids): for every document the places where all terms of a phrase stand within ``reach``
+    words of its rarest one, in any order, and the items of these phrases."""
+    docs = docs.select("doc_id", "text")
+    listed = stored(windows(items.select("item_id", "text"), size).select("item_id", "terms", F.array_join("terms", " ").alias("phrase")), "windows")
+    vocabulary = stored(listed.select(F.explode("terms").alias("term")).distinct(), "vocabulary")
+    index = stored(postings(docs, small(vocabulary, F.length("term"))), "postings")
+    matches = stored(proximity_matches(index, listed.select("phrase", "terms").distinct(), reach), "near")
+    holders = small(listed.select("phrase", "item_id").distinct(), F.length("phrase"))
+    ids = matches.select("key", "phrase").distinct().join(holders, "phrase").groupBy("key").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
+    counted = stored(matches.groupBy("key").agg(F.count("*").alias("n_near")).join(ids, "key"), "found")
+    keyed = docs.select("doc_id", document_key("doc_id", "text").alias("key"))
+    return keyed.join(small(counted), "key", "left").select(
+        "doc_id", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")
+    )

@@ -8,13 +8,14 @@ from rowloom.llm import warc
 
 
 def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return warc.derivatives(warc.responses(pages)).drop("date", "record_id", "concurrent_to")
+    """All columns of the records, with their ids and the link between the two of a page."""
+    return warc.derivatives(warc.responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
 def op2_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All columns of the records, with their ids and the link between the two of a page."""
-    return warc.derivatives(warc.responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    """The records as they stand in a file."""
+    records = warc.derivatives(warc.responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    return warc.serialized(records).select("warc_type", "record_id", "warc")
 
 
 _QUOTED = r"""(?:[^>"'']|"[^"]*"|''[^'']*'')*>"""
@@ -70,9 +71,18 @@ def _derived_id(kind: str) -> str:
 
 _RECORDS_SQL = f"""
 SELECT *, {_derived_id("warc_type")} AS record_id, CASE WHEN warc_type = 'metadata' THEN {_derived_id("'conversion'")} END AS concurrent_to,
-       CAST(NULL AS VARCHAR) AS date
+       '1970-01-01T00:00:00Z' AS date
 FROM ({_SQL})
 """
 
+_FILE_SQL = f"""
+SELECT warc_type, record_id, array_to_string(list_filter([
+         'WARC/1.1', 'WARC-Type: ' || warc_type, 'WARC-Record-ID: <' || record_id || '>', 'WARC-Refers-To: <' || refers_to || '>',
+         'WARC-Concurrent-To: <' || concurrent_to || '>', 'WARC-Target-URI: ' || target_uri, 'WARC-Date: ' || date, 'WARC-Block-Digest: ' || block_digest,
+         'Content-Type: ' || content_type, 'Content-Length: ' || CAST(content_length AS VARCHAR)], lambda x: x IS NOT NULL), chr(13) || chr(10))
+       || repeat(chr(13) || chr(10), 2) || block || repeat(chr(13) || chr(10), 2) AS warc
+FROM ({_RECORDS_SQL})
+"""
+
 QUERIES = {"op2_warc_derivatives": op2_warc_derivatives, "op2_warc_records": op2_warc_records}
-ORACLES = {"op2_warc_derivatives": _SQL, "op2_warc_records": _RECORDS_SQL}
+ORACLES = {"op2_warc_derivatives": _RECORDS_SQL, "op2_warc_records": _FILE_SQL}

@@ -13,7 +13,9 @@ laxer of equals; a rule that finds no bad documents rejects nothing.
 Every statistic covers all labelled rows; counting is one grouped aggregation and only the counts of one
 (stratum, rule) meet in a task. In a stratum whose own labels certify no cutoff of a rule, or that has no
 labels at all, the rule rejects nothing: cutoffs of other strata bound nothing there. ``labels_needed`` gives
-the fewest good labels that certify anything. Null strata form one stratum. Documents without words have ratio
+the fewest good labels that certify anything. Null strata and the stratum "" form one stratum. Copies of one text
+are one label (``one_per_text``), since the bound is for independent ones. Ties of cutoffs go to the laxer one. Extra
+columns stay, except ``failed``; without rows there are no cutoffs and no verdicts. Documents without words have ratio
 zero. A label that is null is no label; several labels of one document count once, as good only if all of them
 are good.
 """
@@ -27,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.llm.arrowtext import free_name
+
 #: Rules: name and SQL of a ratio between 0 and 1 that is large in bad documents.
 RULES: dict[str, str] = {
     "symbols": "least(n_symbols / n_words, 1)",
@@ -123,14 +127,23 @@ def verdicts(stats: DataFrame, limits: DataFrame, rules: dict[str, str] | None =
     rules = rules or RULES
     fold = F.map_from_entries(F.collect_list(F.struct(F.col("rule"), F.coalesce("rung", F.lit(STEPS)).alias("rung"))))
     own = limits.where("strictest IS NOT NULL").groupBy("stratum").agg(fold.alias("__own")).withColumnRenamed("stratum", "__stratum")
-    joined = stats.join(own, F.coalesce(F.col(stratum), F.lit("")) == F.col("__stratum"), "left")
+    kept = [c for c in stats.columns if c != "failed"]
+    mine, at = free_name(kept, "__own"), free_name(kept, "__stratum")
+    own = own.withColumnRenamed("__own", mine).withColumnRenamed("__stratum", at)
+    joined = stats.join(own, F.coalesce(F.col(stratum), F.lit("")) == F.col(at), "left")
     broken = []
     for name, sql in rules.items():
         cell = F.ceil(F.coalesce(F.expr(f"CASE WHEN n_words > 0 THEN {sql} END"), F.lit(0.0)) * STEPS - F.lit(1e-9))
-        broken.append(F.when(cell > F.element_at("__own", F.lit(name)), F.lit(name)))
-    return joined.withColumn("failed", F.array_compact(F.array(*broken))).drop("__own", "__stratum")
+        broken.append(F.when(cell > F.element_at(mine, F.lit(name)), F.lit(name)))
+    return joined.select(*[F.col(f"`{c}`") for c in kept], F.array_compact(F.array(*broken)).alias("failed"))
 
 
 def verdict_of_labels(labels: DataFrame) -> DataFrame:
     """(doc_id, good): 1 if all quality labels of a document are 1, else 0."""
     return labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.min("quality") == 1).cast("int").alias("good"))
+
+
+def one_per_text(holdout: DataFrame, text_key: str, stratum: str = "stratum") -> DataFrame:
+    """One row per stratum and text, good only if all its copies are; the statistics of equal texts are equal."""
+    same = [c for c in holdout.columns if c not in (stratum, text_key, "good")]
+    return holdout.groupBy(stratum, text_key).agg(F.min("good").alias("good"), *[F.max(c).alias(c) for c in same])

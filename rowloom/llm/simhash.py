@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowloom.llm.arrowtext import LOWER, SPACED, appended, mixed, spans, text_bytes
+from rowloom.llm.arrowtext import LOWER, SPACED, appended, document_key, free_name, mixed, spans, text_bytes
 from rowloom.llm.components import components
 from rowloom.session import stored
 
@@ -161,23 +161,27 @@ def links(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return spread.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fp, component_id) of every document."""
-    marked = stored(fingerprints(docs.select(F.col(id).alias("id"), F.col(text).alias("text"))).select("id", "fp"), "fingerprints")
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", key: bool = False) -> DataFrame:
+    """(id, fp, component_id) of every document, with its ``document_key`` if ``key`` is set."""
+    named = [document_key("id", "text").alias("key")] if key else []
+    marked = stored(fingerprints(docs.select(F.col(id).alias("id"), F.col(text).alias("text"))).select("id", "fp", *named), "fingerprints")
     nodes = stored(marked.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
     roots = components(links(nodes.select("fp", F.col("fp").alias("rep"))))
     rooted = stored(nodes.join(roots, nodes["fp"] == roots["node"], "left").select(F.col("fp").alias("__fp"), "least", F.coalesce("root", "fp").alias("root")), "rooted")
     names = rooted.groupBy(F.col("root").alias("__root")).agg(F.min("least").alias("component_id"))
     named = rooted.join(names, F.col("root") == F.col("__root")).select("__fp", "component_id")
-    return marked.join(named, F.col("fp") == F.col("__fp")).select(F.col("id").alias(id), "fp", "component_id")
+    return marked.join(named, F.col("fp") == F.col("__fp")).select(F.col("id").alias(id), "fp", "component_id", *(["key"] if key else []))
 
 
 def representatives(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each near-duplicate group, that with the smallest id. Rows alike in id
-    and text stay once. Documents with a null id, which no other document can stand for, stay."""
-    named = stored(near_duplicates(docs, id, text), "named")
-    keep = named.where(F.col(id) == F.col("component_id"))
-    kept = docs.join(keep.select(id, "fp").distinct().select(F.col(id).alias("__id")), F.col(id) == F.col("__id"), "left_semi")
-    if keep.groupBy(id, "fp").count().where("count > 1").limit(1).count():
+    """``docs`` with one document of each near-duplicate group, that with the smallest id. Of different texts that
+    share that id and group the one with the smallest key stays, rows alike in id and text stay once. Documents with
+    a null id, which no other document can stand for, stay."""
+    named = stored(near_duplicates(docs, id, text, key=True), "named")
+    keep = named.where(F.col(id) == F.col("component_id")).groupBy("component_id").agg(F.min("key").alias("key"), F.count("*").alias("n"))
+    keep = stored(keep, "kept")
+    own = free_name(docs.columns, "__key")
+    kept = docs.join(keep.select(F.col("key").alias(own)), document_key(id, text) == F.col(own), "left_semi")
+    if keep.where("n > 1").limit(1).count():
         kept = kept.dropDuplicates([id, text])
     return kept.unionByName(docs.where(F.col(id).isNull()))

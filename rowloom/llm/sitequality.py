@@ -1,6 +1,6 @@
 """Quality of documents from their own evidence and from the record of their host and path.
 
-A logistic model of text statistics, fitted on a bounded sample of labelled rows (``sample`` rows with the
+A logistic model of text statistics and of the words' own evidence (a column ``margin``, see ``ngramevidence``), fitted on a bounded sample of labelled documents (about ``sample`` with the
 smallest hashes), gives each document a log-likelihood ratio. Labels of all rows are counted per path and
 host by grouped aggregation. Hosts have a Beta prior around the global rate and paths one around their host;
 both concentrations are estimated by moments from all counts, so that sparse sites shrink towards their
@@ -86,31 +86,20 @@ def site_posteriors(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sites, prior
 
 
-def scored(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> DataFrame:
-    """(doc_id, host, path, evidence, host_posterior, path_posterior, quality_score) of every document."""
-    features = [F.expr(sql).cast("double").alias(f"__x{i}") for i, sql in enumerate(FEATURES.values())]
-    base = docs.select("doc_id", "host", "path", *features)
+def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with ``good``: 1.0, 0.0 or null without a label. Written once, since counts and scores read it."""
     label = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("double").alias("good"))
-    known = stored(base.join(label, "doc_id"), "labelled")
+    return stored(docs.join(label, "doc_id", "left"), "rated")
 
-    rows = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(*[f"__x{i}" for i in range(len(FEATURES))], "good").toPandas().to_numpy()
-    if len(rows) and 0 < rows[:, -1].sum() < len(rows):
-        mean, spread = rows[:, :-1].mean(axis=0), rows[:, :-1].std(axis=0) + 1e-9
-        w = fit_logistic((rows[:, :-1] - mean) / spread, rows[:, -1])
-        rate = rows[:, -1].mean()
-        weight, constant = w[:-1] / spread, w[-1] - (w[:-1] * mean / spread).sum() - np.log(rate / (1 - rate))
-    else:
-        weight, constant = np.zeros(len(FEATURES)), 0.0
-    evidence = sum((F.col(f"__x{i}") * float(v) for i, v in enumerate(weight)), F.lit(float(constant)))
 
-    sites, prior = site_posteriors(known)
+def with_posteriors(docs: DataFrame) -> DataFrame:
+    """From ``rated`` rows with host and path: host_posterior, path_posterior, and the prior with its strengths."""
+    sites, prior = site_posteriors(docs.where("good IS NOT NULL"))
     # Only paths that have labels are in ``sites``; a host's other paths take the host's counts.
     by_host = sites.select("host", "host_n", "host_k").distinct().select(F.col("host").alias("__host"), F.col("host_n").alias("hn"), F.col("host_k").alias("hk"))
     by_path = sites.select(F.col("host").alias("__h"), F.col("path").alias("__p"), F.col("path_n").alias("pn"), F.col("path_k").alias("pk"))
     joined = (
-        base.select("doc_id", "host", "path", evidence.alias("evidence"))
-        .join(label, "doc_id", "left")
-        .join(by_host, F.col("host").eqNullSafe(F.col("__host")), "left")
+        docs.join(by_host, F.col("host").eqNullSafe(F.col("__host")), "left")
         .join(by_path, F.col("host").eqNullSafe(F.col("__h")) & F.col("path").eqNullSafe(F.col("__p")), "left")
         .crossJoin(F.broadcast(prior))  # one row
     )
@@ -119,7 +108,33 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> DataFram
     host = (less("hk", own_k) + F.col("host_strength") * F.col("prior")) / (less("hn", own_n) + F.col("host_strength"))
     joined = joined.withColumn("host_posterior", host)
     path = (less("pk", own_k) + F.col("path_strength") * F.col("host_posterior")) / (less("pn", own_n) + F.col("path_strength"))
-    joined = joined.withColumn("path_posterior", path)
+    return joined.withColumn("path_posterior", path)
+
+
+def sampled(known: DataFrame, sample: int, width: int) -> np.ndarray:
+    """Features and label of about ``sample`` documents with the smallest hashes, one row per id. Only they move."""
+    xs = [f"__x{i}" for i in range(width)]
+    each = known.groupBy("doc_id").agg(F.min(F.struct(*xs, "good")).alias("r"))
+    share = min(1.0, sample / max(known.agg(F.approx_count_distinct("doc_id")).first()[0], 1))
+    chosen = each.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < F.lit(share * (1 << 31))).orderBy("doc_id")
+    return chosen.select("r.*").toPandas().to_numpy(dtype=float).reshape(-1, len(xs) + 1)
+
+
+def scored(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> DataFrame:
+    """(doc_id, host, path, evidence, host_posterior, path_posterior, quality_score) of every document."""
+    given = [*FEATURES.values(), *(["margin"] if "margin" in docs.columns else [])]
+    features = [F.expr(sql).cast("double").alias(f"__x{i}") for i, sql in enumerate(given)]
+    base = rated(docs.select("doc_id", "host", "path", *features), labels)
+    rows = sampled(base.where("good IS NOT NULL"), sample, len(given))
+    if len(rows) and 0 < rows[:, -1].sum() < len(rows):
+        mean, spread = rows[:, :-1].mean(axis=0), rows[:, :-1].std(axis=0) + 1e-9
+        w = fit_logistic((rows[:, :-1] - mean) / spread, rows[:, -1])
+        rate = rows[:, -1].mean()
+        weight, constant = w[:-1] / spread, w[-1] - (w[:-1] * mean / spread).sum() - np.log(rate / (1 - rate))
+    else:
+        weight, constant = np.zeros(len(given)), 0.0
+    evidence = sum((F.col(f"__x{i}") * float(v) for i, v in enumerate(weight)), F.lit(float(constant)))
+    joined = with_posteriors(base.withColumn("evidence", evidence))
     odds = F.col("evidence") + F.log(F.col("path_posterior") / (1 - F.col("path_posterior")))
     score = F.when(F.expr("prior = 0.5 AND host_strength IS NULL"), F.lit(0.5)).otherwise(1 / (1 + F.exp(-odds)))
     return joined.select("doc_id", "host", "path", "evidence", "host_posterior", "path_posterior", score.alias("quality_score"))

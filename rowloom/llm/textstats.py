@@ -1,8 +1,10 @@
 """Counts of words, symbols, repeated lines and repeated word windows of whole texts, in numpy.
 
 Words are runs of bytes other than space, tab, line feed, vertical tab, form feed and carriage return.
-A null text has no words and no lines. Equal hashes only nominate lines and windows; each nominee is
-compared with the first of its hash byte for byte (lines) or word by word (windows).
+A null or empty text has no words; a null one has no lines. Equal hashes only nominate lines and windows; each
+nominee is compared with the first of its hash byte for byte (lines) or word by word (windows; equal words have
+equal numbers in the block, given by an exact dictionary). Texts are worked on in blocks of some megabytes or one
+longer text, whole.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import types as T
 
-from rowloom.llm.arrowtext import SPACED, byte_class, code_point_starts, mixed, span_hashes, spans, text_bytes
+from rowloom.llm.arrowtext import SPACED, byte_class, code_point_starts, mixed, span_hashes, spans, text_bytes, word_numbers
 
 #: A repeated window has this many words.
 WINDOW = 5
@@ -61,9 +63,9 @@ def _repeated_lines(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray) -
     return np.bincount(text, minlength=n), np.bincount(text[later[same]], minlength=n)
 
 
-def _repeated_words(hashes: np.ndarray, bounds: np.ndarray, window: int) -> np.ndarray:
+def _repeated_words(words: np.ndarray, bounds: np.ndarray, window: int) -> np.ndarray:
     """Per text: words inside windows that occur twice or more in the text."""
-    n = len(hashes)
+    n = len(words)
     texts = len(bounds) - 1
     if n < window:
         return np.zeros(texts, np.int64)
@@ -71,12 +73,12 @@ def _repeated_words(hashes: np.ndarray, bounds: np.ndarray, window: int) -> np.n
     at = np.flatnonzero(text[: n - window + 1] == text[window - 1 :])
     key = mixed(text[at].astype(np.uint64))
     for k in range(window):
-        key = mixed(key ^ hashes[at + k])
+        key = mixed(key ^ words[at + k])
     later, earlier = repeats(key)
     i, j = at[later], at[earlier]
     same = text[i] == text[j]
     for k in range(window):
-        same &= hashes[i + k] == hashes[j + k]
+        same &= words[i + k] == words[j + k]
     depth = np.zeros(n + 1, np.int64)
     for places in (i[same], np.unique(j[same])):
         np.add.at(depth, places, 1)
@@ -97,7 +99,7 @@ def counts(column: pa.Array) -> list[pa.Array]:
         "word_chars": np.diff(in_words[bounds]),
         "n_symbols": per_text(SYMBOLS[data], offsets),
         "n_dup_lines": n_dup_lines,
-        "n_repeat_words": _repeated_words(span_hashes(data, starts, ends), bounds, WINDOW),
+        "n_repeat_words": _repeated_words(word_numbers(data, starts, ends).astype(np.uint64), bounds, WINDOW),
         "n_lines": n_lines,
         "n_upper": per_text(_UPPER[data], offsets),
         "n_marks": per_text(_MARKS[data], offsets),

@@ -2,16 +2,21 @@
 
 import binascii
 import collections
+import gzip
 import html.parser
 import math
 import random
 import re
+import time
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 
-from rowloom.llm import backoff, chat, phrases, sitequality, stringkernel, textstats, warc
+from rowloom.llm import backoff, chat, ngramevidence, phrases, sitequality, stringkernel, textstats, warc
+from rowloom.llm.arrowtext import document_key
 from rowloom.llm.queries import ORACLES, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,7 +86,7 @@ def test_derived_records_refer_to_their_source(spark):
 
 
 def test_a_registered_query_returns_whole_records(spark):
-    rows = QUERIES["op2_warc_records"](spark, SMALL)
+    rows = QUERIES["op2_warc_derivatives"](spark, SMALL)
     assert rows.columns == [part.split()[0] for part in warc.RECORD.split(", ")]
     rows = rows.collect()
     made = {(r.record_id, r.refers_to) for r in rows if r.warc_type == "conversion"}
@@ -97,6 +102,50 @@ def test_foreign_responses_with_nulls():
     assert warc.derived("i", "u", "d", b"h\r\n\r\n\xff", None, None)[0][-1] == "�"
 
 
+@pytest.mark.parametrize("unit", ["<script>", "<!--", "<title>", "<a ", "<p ", '<p "', "<p '", "<a href='", "<style>x<!--", "<script "])
+def test_open_tags_take_linear_time(unit):
+    page = unit * (10_000_000 // len(unit))
+    began = time.time()
+    warc.plain_text(page + '" >'), warc.title_of(page), warc.links_of(page)
+    assert time.time() - began < 90
+
+
+def test_pages_of_loose_parts_equal_plain_patterns():
+    """What stays, the title and the links, as backtracking patterns find them."""
+    hidden = re.compile(r"<!--.*?-->|" + "|".join(rf"<{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in warc.HIDDEN), re.S | re.I)
+    quoted = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+    passes = [(rf"</?(?:{warc.BREAKING})(?:[\s/]{quoted}|>)", "\n"), (rf"<[a-z/!?]{quoted}", ""), (r"<[a-z/!?][^>]*>", "")]
+    link = re.compile(r"<a\s[^>]*?href\s*=\s*(?:\"([^\">]*)\"|'([^'>]*)')", re.I)
+    rng = random.Random(3)
+    parts = ["<p>", "</p>", "<p ", '<a href="x">', "<a ", "<a\thref = 'y'", 'href="q', "<!--", "-->", "<script>", "</script>", "<script src='a>b'>", "</script >", "<title>", "</title>", "<title x", "<b>", "<i a='>'>", "'", '"', ">", "<", "text", " ", "\n", "<br", "<head>", "</head>", "</ p>", "<style", "</STYLE>", "<noscript>", "<template>"]
+    for _ in range(5000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randint(0, 22)))
+        want = hidden.sub("", page)
+        for pattern, new in passes:
+            want = re.sub(pattern, new, want, flags=re.I)
+        want = "\n".join(x for line in want.split("\n") if (x := re.sub(r"[ \t\r\f\v]+", " ", line).strip(" ")))
+        assert warc.plain_text(page) == want, page
+        found = re.search(r"<title(?:\s[^>]*)?>(.*?)</title", page, re.S | re.I)
+        assert warc.title_of(page) == (found[1] if found else "")
+        assert warc.links_of(page) == [a or b for a, b in link.findall(page)]
+
+
+def test_headers_are_followed():
+    def plain(head, body):
+        return [r[-1] for r in warc.derived("i", "u", None, b"HTTP/1.1 200 OK\r\n" + head + b"\r\n\r\n" + body, None, None) if r[0] == "conversion"]
+
+    page = "<p>caf\u00e9</p>"
+    assert plain(b"Content-Type: text/html; charset=ISO-8859-1", page.encode("latin-1")) == ["caf\u00e9"]
+    assert plain(b"content-type: TEXT/HTML;charset=nonsense", page.encode()) == ["caf\u00e9"]
+    assert plain(b"Content-Encoding: gzip", gzip.compress(page.encode())) == ["caf\u00e9"]
+    assert plain(b"Content-Encoding: deflate", zlib.compress(page.encode())[2:-4]) == ["caf\u00e9"]
+    assert plain(b"Transfer-Encoding: chunked", b"4\r\n<p>c\r\n9;x=1\r\naf\xc3\xa9</p>\r\n0\r\n\r\n") == ["caf\u00e9"]
+    assert plain(b"Content-Type: image/png", b"\x89PNG") == []
+    (row,) = warc.derived("i", "u", None, b"HTTP/1.1 200 OK\r\nContent-Type: image/png\r\n\r\n\x89PNG", None, None)
+    assert row[0] == "metadata" and row[3] is None and "title:" not in row[-1]
+    assert plain(b"Content-Encoding: gzip", b"not gzip") == ["not gzip"] and plain(b"Transfer-Encoding: chunked", b"zz") == ["zz"]
+
+
 # --- 3: site quality
 
 
@@ -129,6 +178,34 @@ def test_site_quality_without_labels_or_rows(spark):
     assert sitequality.scored(docs.limit(0), none).collect() == []
 
 
+def test_word_evidence_finds_labels_it_has_not_seen(spark):
+    """Labels that only the words tell; margins come from the other half; scores follow plain sums."""
+    rng = random.Random(9)
+    good, bad = [f"g{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    rows, labels = [], []
+    for i in range(700):
+        y = rng.random() < 0.5
+        rows.append((i, " ".join(rng.choices((good if y else bad) + ["the", "of"] * 20, k=rng.randint(20, 60))), i))
+        labels.append((i, int(y)))
+    docs = spark.createDataFrame(rows + [(None, "g1 g2", 0), (9999, None, 0), (9998, "", 0)], "doc_id long, text string, __margin0 int")
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r["doc_id"]: r for r in ngramevidence.with_margin(docs, known).collect()}
+    assert len(got) == 703 and got[9999]["margin"] == got[9998]["margin"] == 0 and got[5]["__margin0"] == 5
+    assert sum((got[i]["margin"] > 0) == bool(y) for i, y in labels) > 0.97 * len(labels)
+    weights = ngramevidence.fit(docs, known)
+    halves = {r["doc_id"]: r["h"] for r in docs.select("doc_id", ngramevidence.half("doc_id").alias("h")).collect()}
+    for i in range(20):
+        bucket, counts = ngramevidence.buckets(pa.array([rows[i][1]]))
+        assert len(bucket) == counts[0] == len(set(bucket.tolist()))
+        w = weights[1 - halves[i]]
+        assert got[i]["margin"] == pytest.approx(sum(w[b] for b in bucket.tolist()) / math.sqrt(len(bucket)) + w[-1])
+    flipped = spark.createDataFrame([(i, 1 - y if halves[i] == 0 else y) for i, y in labels], "doc_id long, quality int")
+    after = {r["doc_id"]: r["margin"] for r in ngramevidence.with_margin(docs, flipped).collect()}
+    assert all(after[i] == pytest.approx(got[i]["margin"]) for i in range(700) if halves[i] == 0)  # judged by the other half
+    assert ngramevidence.with_margin(docs.limit(0), known).collect() == []
+    assert {r["margin"] for r in ngramevidence.with_margin(docs, known.limit(0)).collect()} == {0.0}
+
+
 def test_site_quality_finds_labelled_junk(spark):
     got = {r.doc_id: r.quality_score for r in QUERIES["op3_site_quality"](spark, SMALL).collect()}
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
@@ -191,11 +268,48 @@ def test_contamination_without_broadcasts(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_words, r.n_hit, tuple(r.item_ids)) for r in got) == plain_contamination(docs, items)
 
 
+def plain_near(docs, items, reach):
+    """For every window the places of its rarest term with all other terms close by."""
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
+    texts = [cut(t) for _, t in docs]
+    found = {}
+    for item, text in items:
+        w = cut(text)
+        found.update({(item, tuple(w[k : k + 10])): tuple(w[k : k + 10]) for k in range(max(len(w) - 9, 1)) if w})
+    vocabulary = {x for w in found.values() for x in w}
+    freq = collections.Counter(x for t in texts for x in t if x in vocabulary)
+    out = []
+    for (i, _), t in zip(docs, texts):
+        places, hit = set(), set()
+        for (item, w) in found:
+            if all(freq[x] for x in w):
+                rare = min(set(w), key=lambda x: (freq[x], x))
+                at = [p for p, x in enumerate(t) if x == rare and set(w) <= set(t[max(0, p - reach) : p + reach + 1])]
+                places |= {(w, p) for p in at}
+                hit |= {item} if at else set()
+        out.append((i, len(places), tuple(sorted(map(str, hit)))))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("rows", [300_000, -1])
+def test_near_equals_brute_force(spark, monkeypatch, rows):
+    monkeypatch.setattr(phrases, "SMALL_ROWS", rows)
+    rng = random.Random(4)
+    words = "one two three four five six seven eight nine ten eleven twelve".split()
+    items = [(k, " ".join(rng.choices(words, k=rng.choice([0, 1, 2, 5, 10, 13])))) for k in range(12)]
+    docs = [(k, " ".join(rng.choices(words + ["pad"] * 4, k=rng.randint(0, 60)))) for k in range(60)] + [(1, None), (None, "one TWO"), (None, "one TWO")]
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    right = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(((r.doc_id, r.n_near, tuple(r.item_ids)) for r in phrases.near(left, right, 8).collect()), key=str)
+    assert got == plain_near(docs, items, 8) and sum(r[1] for r in got) > 20
+    assert phrases.near(left.limit(0), right, 8).collect() == [] and {r.n_near for r in phrases.near(left, right.limit(0), 8).collect()} == {0}
+
+
 def test_proximity_matches_ignore_the_order(spark):
     docs = spark.createDataFrame([(1, "rare x y common other"), (2, "other rare common"), (3, "rare a b c d e f g common other"), (4, "common other")], "doc_id long, text string")
     index = phrases.postings(docs, spark.createDataFrame([("rare",), ("common",), ("other",)], "term string"))
     asked = spark.createDataFrame([("rare common other", ["rare", "common", "other"])], "phrase string, terms array<string>")
-    keys = {r.key: r.doc_id for r in docs.selectExpr("doc_id", "xxhash64(doc_id, text) AS key").collect()}
+    keys = {r.key: r.doc_id for r in docs.select("doc_id", document_key("doc_id", "text").alias("key")).collect()}
     assert {keys[r.key] for r in phrases.proximity_matches(index, asked, 4).collect()} == {1, 2}
     assert {keys[r.key] for r in phrases.proximity_matches(index, asked, 9).collect()} == {1, 2, 3}
 
@@ -228,57 +342,80 @@ def test_chat_comes_back_whatever_it_says(spark):
 # --- 9: language model
 
 
-def plain_model(docs, strength):
+def plain_model(docs, strength, order):
     train = [t for _, held, t in docs if not held]
     cut = lambda t: [*WORD.findall((t or "").translate(LOWER)), "</s>"]
-    one, two, states = collections.Counter(), collections.Counter(), collections.Counter()
+    grams, states = collections.Counter(), collections.Counter()
     for t in train:
-        w = cut(t)
-        one.update(w)
-        two.update(zip(["<s>", *w], w))
-        states.update(["<s>", *w[:-1]])
-    n, v = sum(one.values()), len(one)
-    chance = lambda w: (one[w] + 0.5) / (n + 0.5 * (v + 1))
+        w = ["<s>", *cut(t)]
+        for i in range(1, len(w)):
+            for k in range(1, order + 1):
+                if i - k + 1 >= 0:
+                    grams[tuple(w[i - k + 1 : i + 1])] += 1
+                    states[tuple(w[i - k + 1 : i])] += 1
+    n, v = states[()], sum(len(g) == 1 for g in grams)
+
+    def chance(h, x):
+        if not h:
+            return (grams[x,] + 0.5) / (n + 0.5 * (v + 1))
+        return (grams[*h, x] + strength * chance(h[1:], x)) / (states[h] + strength)
+
     out = {}
     for i, _, t in docs:
-        w = cut(t)
-        base = sum(math.log10(chance(x)) for x in w)
-        score = sum(math.log10((two[h, x] + strength * chance(x)) / (states[h] + strength)) for h, x in zip(["<s>", *w], w))
-        out[i] = (len(w), sum(one[x] > 0 for x in w), n, base, score)
+        w = ["<s>", *cut(t)]
+        base = sum(math.log10(chance((), x)) for x in w[1:])
+        score = sum(math.log10(chance(tuple(w[max(0, j - order + 1) : j]), w[j])) for j in range(1, len(w)))
+        out[i] = (len(w) - 1, sum(grams[x,] > 0 for x in w[1:]), n, base, score)
     return out
 
 
-def test_scores_equal_the_smoothed_model(spark, monkeypatch):
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_scores_equal_the_smoothed_model(spark, monkeypatch, order):
     rng = random.Random(11)
     docs = [(0, False, None), (1, True, ""), (2, False, "A a\x0bA"), (3, True, "unseen words only")]
     docs += [(i, i % 5 == 1, " ".join(rng.choice(["Der", "die", "und", "ß", "x" * 30, f"w{rng.randrange(200)}"]) for _ in range(rng.randint(1, 80)))) for i in range(4, 200)]
-    for name, value in (("CHUNK_BYTES", 3000), ("BUCKET_ENTRIES", 64)):
+    for name, value in (("CHUNK_BYTES", 3000), ("BUCKET_ENTRIES", 64), ("SEGMENT", 7)):
         monkeypatch.setattr(backoff, name, value)
     df = spark.createDataFrame([(i, not h, t, "k") for i, h, t in docs], "doc_id long, train boolean, text string, chunk string").repartition(3)
-    got = backoff.scored(df).collect()
+    got = backoff.scored(df, order).collect()
     assert len(got) == len(docs)
-    expected = plain_model(docs, got[0].strength)
+    expected = plain_model(docs, got[0].strength, order)
     for r in got:
         assert (r.n_tokens, r.n_known, r.train_tokens) == expected[r.doc_id][:3]
         assert (r.base_score, r.score) == pytest.approx(expected[r.doc_id][3:], rel=1e-9)
-    assert backoff.scored(df.limit(0)).collect() == []
+    assert backoff.scored(df.limit(0), order).collect() == []
+
+
+def test_the_state_is_the_longest_seen_context():
+    """States that the traversal carries, arcs before failures, on a text that leaves the known path and returns."""
+    texts = pa.array(["a b c d", "x a b q c d"])
+    chunk = backoff.Chunk(texts, np.array([True, False]), 3)
+    model = backoff.Automaton(chunk, chunk.counts, 5, 5)
+    state, arc, fails = model.traverse()
+    seen = {g for g in [("<s>",), ("a",), ("b",), ("c",), ("d",), ("<s>", "a"), ("a", "b"), ("b", "c"), ("c", "d"), ("d", "</s>")]}
+    words, at = ["a", "b", "c", "d", "</s>", "x", "a", "b", "q", "c", "d", "</s>"], chunk.first.tolist()
+    for i in range(len(words)):
+        t = 0 if i < at[1] else at[1]
+        history = ["<s>", *words[t:i]][-2:]
+        longest = next((tuple(history[j:]) for j in range(len(history)) if tuple(history[j:]) in seen), ())
+        depth = sum(state[i] >= o for o in model.offset[1:])
+        assert depth == len(longest), (i, longest)
+    assert fails[: at[1]].tolist() == [0] * 5 and fails[at[1]] == 1
 
 
 def test_smoothed_probabilities_add_up_to_one():
-    import pyarrow as pa
-
-    chunk = backoff.Chunk(pa.array(["a b a c", "b a"]), np.array([True, True]))
-    model = backoff.Automaton(chunk, chunk.word_counts, chunk.pair_counts, 8, 4)
-    share = 10 ** model.weights(3.0)
-    for state in range(len(chunk.words)):
-        own = np.flatnonzero(model.state == state)
+    chunk = backoff.Chunk(pa.array(["a b a c", "b a"]), np.array([True, True]), 2)
+    model = backoff.Automaton(chunk, chunk.counts, 8, 4)
+    arcs, failures = model.weights(3.0)
+    chance = (model.counts[0] + 0.5) / (8 + 0.5 * 5)
+    for state in range(1, len(chunk.keys[0]) + 1):
+        own = np.flatnonzero(model.codes // model.width == state)
         if not len(own):
             continue
-        n = model.words[state]
-        seen = set(model.word[own].tolist())
-        others = [w for w in range(len(chunk.words)) if w not in seen and w != chunk.begin]
-        rest = 3.0 / (n + 3.0) * (sum(model.chance[w] for w in others) + 0.5 / (8 + 0.5 * 5))
-        assert share[own].sum() + rest == pytest.approx(1.0)
+        seen = set((model.codes[own] % model.width).tolist())
+        others = [w for w in range(model.width) if w not in seen and w != chunk.begin]
+        rest = 10 ** failures[state] * (sum(chance[w] for w in others) + 0.5 / (8 + 0.5 * 5))
+        assert (10 ** arcs[own]).sum() + rest == pytest.approx(1.0)
 
 
 def test_pairs_help_on_held_out_texts(spark):
@@ -347,3 +484,19 @@ def test_queries_equal_their_sql(spark, name):
 
     problem = compare(QUERIES[name](spark, SMALL).toPandas(), connect(SMALL).execute(ORACLES[name]).df())
     assert not problem
+
+
+def test_counts_beyond_32_bits():
+    """Two chunks with three thousand million occurrences each of one word."""
+    keys = np.array([7], np.uint64)
+    raw = backoff.packed(np.diff(keys, prepend=np.uint64(0))), backoff.packed(np.array([3_000_000_000], np.uint64))
+    table = pa.table({"kind": [1, 1], "bucket": [0, 0], "chunk": [1, 2], "keys": pa.array([raw[0]] * 2, pa.binary()), "counts": pa.array([raw[1]] * 2, pa.binary())})
+    out = backoff._answer(table)
+    assert out.column("total").to_pylist() == [6_000_000_000, 0]
+    assert [int(backoff.unpacked(x, np.uint64)[0]) for x in out.column("counts").to_pylist()] == [6_000_000_000] * 2
+
+
+def test_clean_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "one two three", "k"), (2, "other words", "l")], "doc_id long, text string, __key string")
+    items = spark.createDataFrame([("a", "two three")], "item_id string, text string")
+    assert [tuple(r) for r in phrases.clean(docs, items).collect()] == [(2, "other words", "l")]

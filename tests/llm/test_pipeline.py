@@ -3,6 +3,7 @@
 import corpus_pipeline
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 from test_models_and_records import plain_contamination
 from test_text_operators import plain_components, plain_fingerprint, plain_line_dedup
 
@@ -34,6 +35,17 @@ def test_language_rejects_texts_without_letters_only(steps):
     assert set(after) == {i for i, r in before.items() if r.text and any(c.isalpha() for c in r.text)}
 
 
+def test_documents_carry_the_predicted_language(spark, steps):
+    """The label of some documents is taken away; the stage puts in what the text says."""
+    docs = steps[0].withColumn("lang", F.expr("CASE WHEN doc_id % 10 IN (1, 2) THEN NULL ELSE lang END"))
+    true = {r.doc_id: r.lang for r in steps[0].collect()}
+    after = held(corpus_pipeline.language(spark, docs, SMALL))
+    changed = [i for i in after if i % 10 in (1, 2) and len(after[i].text) > 200]
+    assert len(changed) > 10 and sum(after[i].lang == true[i] for i in changed) > 0.9 * len(changed)
+    last = held(steps[-1])
+    assert all(last[i].lang == held(steps[1])[i].lang for i in list(last)[:20])
+
+
 def test_line_dedup_takes_effect(steps):
     before, after = held(steps[1]), held(steps[2])
     expected = plain_line_dedup(sorted((i, r.text) for i, r in before.items()))

@@ -276,3 +276,47 @@ def test_queries_equal_their_definitions(spark):
         ids = library.encode(docs[r.doc_id] or "")
         digest = [hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), library.decode(ids))]
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), *digest)
+
+
+def test_lines_with_one_polynomial_hash_stay_apart(spark):
+    """Thue-Morse words and their complement agree in every polynomial modulo 2**64."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    rows = [(k, " ".join("ab"[b ^ k] for b in bits), "kept") for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __key string").withColumnRenamed("__key", "__spans")
+    out = lineruns.without_repeats(docs.withColumn("__key", docs["doc_id"]))
+    assert sorted((r["doc_id"], r["text"], r["n_removed"], r["__spans"], r["__key"]) for r in out.collect()) == [(k, t, 0, "kept", k) for k, t, _ in rows]
+
+
+def test_hot_lines_are_spread_and_kept_right(spark, monkeypatch):
+    """One line in most documents: joins go through salts, results stay those of brute force."""
+    rng = random.Random(6)
+    common = " ".join(f"c{i}" for i in range(30))
+    docs = [(k, "\n".join([common if rng.random() < 0.8 else f"own {k} {j} " + "z " * 20 for j in range(6)])) for k in range(80)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.doc_id: (r.text, r.n_removed) for r in lineruns.without_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {i: (t, gone) for i, (t, _, gone) in plain_line_dedup(docs).items()}
+
+
+def test_representatives_when_ids_repeat(spark):
+    text, other = "one two three four five six seven", "quite different words stand here in a row of their own"
+    rows = [(3, text, "a"), (5, other, "b"), (5, text, "c"), (3, text, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id string")
+    kept = simhash.representatives(docs).collect()
+    assert sorted(tuple(r) for r in kept) == [(3, text, "a"), (5, other, "b")]
+
+
+def test_verdicts_keep_columns_of_any_name(spark):
+    stats = spark.createDataFrame([(1, "x", "y", "z") + (20,) * 8], "doc_id long, __own string, __stratum string, failed string, " + ", ".join(f"{c} long" for c in textstats.COUNTS))
+    limits = spark.createDataFrame([], "stratum string, rule string, n long, strictest int, rung int")
+    row = riskrules.verdicts(stats.withColumn("stratum", stats["__own"]), limits).first()
+    assert (row["__own"], row["__stratum"], row["failed"]) == ("x", "y", [])
+
+
+def test_copies_of_a_text_are_one_label(spark):
+    rows = [("en", b"t", 1, 5), ("en", b"t", 0, 5), ("en", b"u", 1, 6), ("de", b"t", 1, 5)]
+    out = riskrules.one_per_text(spark.createDataFrame(rows, "lang string, text_key binary, good int, n_words long"), "text_key", "lang")
+    assert sorted((r.lang, bytes(r.text_key), r.good, r.n_words) for r in out.collect()) == [("de", b"t", 1, 5), ("en", b"t", 0, 5), ("en", b"u", 1, 6)]
