@@ -1,11 +1,14 @@
 """From raw documents to token ids: five stages, each written as Parquet and read again by the next.
 
-Language ID rejects documents without a letter; line dedup deletes later copies of runs of lines with 50 words
+Language ID puts the predicted language of each document in place of its label, so that the token ids go by what
+the text is, and rejects documents without a letter, which have none; line dedup deletes later copies of runs of lines with 50 words
 or more, and documents of which nothing is left; near-dedup keeps the document with the smallest id of each
 SimHash group; decontamination drops documents that hold ten consecutive words of a benchmark item; the last
 stage encodes what is left and checks the way back. All other documents stay, with all their columns.
 
-Null and empty texts are rejected by the first stage. An empty table gives an empty result.
+Null and empty texts are rejected by the first stage. Long texts pass every stage whole. Of repeated rows, and of
+other exact or near copies, near-dedup keeps one; there are no other ties. Extra columns stay up to the last stage
+(one named like an added column is replaced). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,8 +25,9 @@ MODEL = "piece_bpe_32k.model"
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = stringkernel.fit(docs, key="doc_id")
-    known = stringkernel.predict(docs, model).where("lang_pred <> 'und'")
-    return known.select(*[f"`{c}`" for c in docs.columns])
+    rest = docs.drop("lang_pred", "score")
+    known = stringkernel.predict(rest, model).where("lang_pred <> 'und'").withColumn("lang", F.col("lang_pred"))
+    return known.select(*[f"`{c}`" for c in docs.columns if c not in ("lang_pred", "score")])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
