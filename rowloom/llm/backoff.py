@@ -31,6 +31,7 @@ whose first state is found from the words before. Extra columns are not used.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ from rowloom.session import scratch_path, stored
 CHUNK_BYTES = 8 << 20
 #: Entries that meet in one bucket, about.
 BUCKET_ENTRIES = 1 << 21
-STRENGTHS = (1.0, 10.0, 100.0, 1e3, 1e4, 1e6)
+STRENGTHS = (3.0, 30.0, 300.0, 3e3, 1e6)
 #: Words per n-gram, unless another order is asked for.
 ORDER = 3
 #: Words of a text that are read one after the other; the segments of all texts are read side by side.
@@ -117,7 +118,7 @@ class Chunk:
     stands before the first word of a text.
     """
 
-    def __init__(self, texts: pa.Array, train: np.ndarray, order: int = ORDER):
+    def __init__(self, texts: pa.Array, train: np.ndarray, order: int = ORDER, places: bool = True):
         data, offsets = text_bytes(texts)
         data = LOWER[data]
         starts, ends, bounds = spans(data, offsets, SPACED)
@@ -133,7 +134,7 @@ class Chunk:
         hashes = np.empty(len(starts), np.uint64)
         low = 0
         while low < len(n):  # some megabytes at once
-            high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + (2 << 20), "right")) - 1)
+            high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + (4 << 20), "right")) - 1)
             a, b = bounds[low], bounds[high]
             hashes[a:b] = word_hashes(data[offsets[low] : offsets[high]], starts[a:b] - offsets[low], ends[a:b] - offsets[low])
             low = high
@@ -141,25 +142,35 @@ class Chunk:
         text = np.repeat(np.arange(len(n)), n + 1)
         self.counted = train[text]
         self.place = np.arange(total) - self.first[text]
-        words, found = np.unique(np.append(token, _BEGIN), return_inverse=True)
-        self.begin, self.word = int(found[-1]), found[:-1]
-        self.keys, self.gram = [words], [self.word]
-        before = np.empty_like(token)  # key of the context of each token, one word at first
-        before[1:] = token[:-1]
-        before[self.first] = _BEGIN
-        for k in range(2, order + 1):
-            some = np.flatnonzero(self.place >= k - 2)
-            key = np.zeros(total, np.uint64)
-            key[some] = mixed(mixed(before[some]) + token[some])
-            distinct, found = np.unique(key[some], return_inverse=True)
-            gram = np.full(total, -1, np.int64)
-            gram[some] = found
+        self.keys, self.counts = [], []
+        if places:
+            self.gram = []
+        before = np.empty_like(token)  # key of the context of each token
+        for k in range(1, order + 1):
+            some = np.flatnonzero(self.place >= k - 2) if k > 2 else np.arange(total)
+            key = token if k == 1 else np.zeros(total, np.uint64)
+            if k > 1:
+                key[some] = mixed(mixed(before[some]) + token[some])
+            own = np.append(key, _BEGIN) if k == 1 else key[some]
+            distinct, found = np.unique(own, return_inverse=True) if places else (_distinct(own), None)
+            counted = np.sort(key[some][self.counted[some]])
+            counts = np.zeros(len(distinct), np.uint64)
+            ends = np.flatnonzero(np.append(counted[1:] != counted[:-1], True)[: len(counted)])
+            counts[np.searchsorted(distinct, counted[ends])] = np.diff(ends, prepend=-1)
             self.keys.append(distinct)
-            self.gram.append(gram)
+            self.counts.append(counts)
+            if places:
+                gram = np.full(total, -1, np.int64)
+                gram[some] = found[: len(some)]
+                self.gram.append(gram)
             before = np.empty_like(token)
             before[1:] = key[:-1]
-        self.counts = [np.bincount(g[self.counted & (g >= 0)], minlength=len(k)).astype(np.uint64) for g, k in zip(self.gram, self.keys)]
+            if k == 1:
+                before[self.first] = _BEGIN
+        self.begin = int(np.searchsorted(self.keys[0], _BEGIN))
         self.counts[0][self.begin] = int(train.sum())
+        if places:
+            self.word = self.gram[0]
 
     def context(self, k: int) -> np.ndarray:
         """Index of the k words before each token at level k - 1; -1 where the text has fewer."""
@@ -169,8 +180,14 @@ class Chunk:
         return out
 
 
-def _chunk(texts: pa.Array, train: pa.Array, order: int) -> Chunk:
-    return Chunk(texts, train.to_numpy(zero_copy_only=False).astype(bool), order)
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in order."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])[: len(keys)]]
+
+
+def _chunk(texts: pa.Array, train: pa.Array, order: int, places: bool = True) -> Chunk:
+    return Chunk(texts, train.to_numpy(zero_copy_only=False).astype(bool), order, places)
 
 
 def _cuts(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -185,7 +202,7 @@ def requests(chunked: DataFrame, bits: int, order: int = ORDER) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                chunk = _chunk(batch.column("texts")[i].values, batch.column("train")[i].values, order)
+                chunk = _chunk(batch.column("texts")[i].values, batch.column("train")[i].values, order, places=False)
                 for kind, (keys, counts) in enumerate(zip(chunk.keys, chunk.counts), 1):
                     cut = _cuts(keys, bits)
                     rows = [(b, packed(np.diff(keys[x:y], prepend=np.uint64(0))), packed(counts[x:y])) for b, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
@@ -218,6 +235,10 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.table({"kind": table.column("kind"), "bucket": table.column("bucket"), "chunk": table.column("chunk"), "counts": pa.array(answers, pa.binary()), "total": pa.array(sums, pa.int64()), "distinct": pa.array(seen, pa.int64())})
 
 
+def _log10(x: np.ndarray) -> np.ndarray:
+    return np.log(x) * (1 / np.log(10))
+
+
 class Automaton:
     """States, arcs and failure arcs for the texts of a chunk.
 
@@ -308,15 +329,22 @@ class Automaton:
             state[:going] = self.target[arcs[at]]
         return read, arcs, fails
 
+    @cached_property
+    def of_grams(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For the levels from pairs on: the count of each gram's context, and its shorter end."""
+        out = []
+        for k in range(2, self.order + 1):
+            at = self.at[k - 1]
+            out.append((self.counts[k - 2][self.chunk.context(k - 1)[at]], self.chunk.gram[k - 2][at]))
+        return out
+
     def weights(self, strength: float) -> tuple[np.ndarray, np.ndarray]:
         """log10 of all arcs, in their order, and of all failure arcs."""
         chance = [(self.counts[0] + 0.5) / (self.total + 0.5 * self.space)]
-        for k in range(2, self.order + 1):
-            at = self.at[k - 1]
-            context = self.counts[k - 2][self.chunk.context(k - 1)[at]]
-            chance.append((self.counts[k - 1] + strength * chance[-1][self.chunk.gram[k - 2][at]]) / (context + strength))
-        arcs = np.concatenate([np.log10(c[g]) for c, g in zip(chance, self.arc_gram)])[self.sorted]
-        return arcs, np.log10(strength / (self.seen_after + strength))
+        for count, (context, end) in zip(self.counts[1:], self.of_grams):
+            chance.append((count + strength * chance[-1][end]) / (context + strength))
+        arcs = _log10(np.concatenate([c[g] for c, g in zip(chance, self.arc_gram)]))[self.sorted]
+        return arcs, _log10(strength / (self.seen_after + strength))
 
     def scores(self, path: tuple[np.ndarray, np.ndarray, np.ndarray], strength: float) -> np.ndarray:
         """log10 of the probability of every token along its path."""
@@ -330,15 +358,22 @@ class Automaton:
                 state = self.failure[state]
         return out
 
+    @cached_property
+    def of_tokens(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For the levels from pairs on: the tokens that have a gram, its count and its context's, less one each."""
+        out = []
+        for k in range(2, self.order + 1):
+            some = np.flatnonzero(self.chunk.gram[k - 1] >= 0)
+            less = lambda counts, grams: np.maximum(counts[grams[some]] - 1, 0)
+            out.append((some, less(self.counts[k - 1], self.chunk.gram[k - 1]), less(self.counts[k - 2], self.chunk.context(k - 1))))
+        return out
+
     def left_out(self, strength: float) -> np.ndarray:
         """log10 of the probability of every training token when its own occurrence is taken out of all counts."""
         p = np.maximum(self.counts[0][self.chunk.word] - 0.5, 0.5) / (max(self.total - 1, 0) + 0.5 * self.space)
-        for k in range(2, self.order + 1):
-            some = np.flatnonzero(self.chunk.gram[k - 1] >= 0)
-            seen = np.maximum(self.counts[k - 1][self.chunk.gram[k - 1][some]] - 1, 0)
-            context = np.maximum(self.counts[k - 2][self.chunk.context(k - 1)[some]] - 1, 0)
+        for some, seen, context in self.of_tokens:
             p[some] = (seen + strength * p[some]) / (context + strength)
-        return np.log10(p)
+        return _log10(p)
 
 
 def _scores(ids: pa.Array, train: pa.Array, texts: pa.Array, answers: pa.Table, total: int, distinct: int, order: int) -> pa.Table:
@@ -356,7 +391,7 @@ def _scores(ids: pa.Array, train: pa.Array, texts: pa.Array, answers: pa.Table,
     for strength in STRENGTHS:
         sums.append(np.add.reduceat(model.scores(path, strength), first))
         left_out.append(np.where(own, np.add.reduceat(model.left_out(strength), first), 0.0))
-    root = np.log10((model.counts[0] + 0.5) / (model.total + 0.5 * model.space))
+    root = _log10((model.counts[0] + 0.5) / (model.total + 0.5 * model.space))
     wide = pa.list_(pa.float64())
     shape = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * len(STRENGTHS)), pa.array(np.column_stack(x).ravel())).cast(wide)
     return pa.table(
@@ -378,7 +413,7 @@ def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
     path = scratch_path(spark, "chunks")
     chunks(docs).write.option("compression", "zstd").parquet(path)
     chunked = spark.read.schema(_CHUNK).parquet(path)
-    tokens = chunked.agg(F.sum("n_tokens")).first()[0]
+    tokens, number = chunked.agg(F.sum("n_tokens"), F.count("*")).first()
     if not tokens:
         return spark.createDataFrame([], "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, strength double")
     bits = max(0, int(tokens - 1).bit_length() - BUCKET_ENTRIES.bit_length() + 1)
@@ -389,7 +424,10 @@ def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
         rows = [_scores(texts.column("ids")[i].values, texts.column("train")[i].values, texts.column("texts")[i].values, found, total, distinct, order) for i in range(texts.num_rows)]
         return pa.concat_tables(rows)
 
-    both = chunked.select("chunk", "ids", "train", "texts").groupBy("chunk").cogroup(answers.select("chunk", "kind", "bucket", "counts").groupBy("chunk"))
+    # As many tasks as the chunks need, whatever the session's setting.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-number // 4))
+    sides = [t.repartition(tasks, "chunk").groupBy("chunk") for t in (chunked.select("chunk", "ids", "train", "texts"), answers.select("chunk", "kind", "bucket", "counts"))]
+    both = sides[0].cogroup(sides[1])
     result = stored(both.applyInArrow(score, _SCORES), "scores")
     likelihood = result.agg(*[F.sum(F.col("left_out")[i]) for i in range(len(STRENGTHS))]).first()
     best = max(range(len(STRENGTHS)), key=lambda i: (likelihood[i] or 0.0, i))
