@@ -11,9 +11,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.functions.expr import uniform_hash
 from rowloom.operators.joins import lookup
-from rowloom.operators.ordered import dense_codes, medians
+from rowloom.operators.ordered import dense_codes, medians, running_totals
 from rowloom.operators.schema import categories
+from rowloom.session import is_planned_small
 
 
 def fitted(table: DataFrame) -> DataFrame:
@@ -210,6 +212,60 @@ class TargetMean:
         return df
 
 
+#: Stands for a missing category where categories are compared.
+_NO_VALUE = "\0"
+
+
+def ordered_means(
+    df: DataFrame, key: str, cols: Sequence[str], label: str, fold: str | None = None, k: int = 0, weight: float = 1.0, seed: int = 42
+) -> DataFrame:
+    """(key, COL_OTS...): the mean label of a row's category over the labelled rows before it in md5 order, drawn
+    towards the overall mean by ``weight`` rows, so that no row sees its own label. Unlabelled rows see all
+    labelled rows of their category. Missing is a category of its own.
+
+    With ``fold``, COL_OTS0 ... COL_OTS<k-1> for the models of k folds: column f knows only the rows outside fold f,
+    and a row of fold f sees all of them, like an unlabelled one. ``key`` is unique.
+
+    One exchange for all columns: (column, value) cells are summed up along md5 buckets, so a frequent category is
+    never ordered in one task.
+    """
+    views = list(range(k)) if fold else [None]
+    inside = {f: F.lit(True) if f is None else ~F.coalesce(F.col("_fold") == f, F.lit(False)) for f in views}
+    named = {f: "" if f is None else str(f) for f in views}
+    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(_NO_VALUE))
+    base = df.select(key, F.col(label).cast("double").alias("_y"), (F.col(fold) if fold else F.lit(0)).alias("_fold"), *[value(c).alias(c) for c in cols])
+    train = base.where(F.col("_y").isNotNull()).withColumn("_digest", uniform_hash(key, seed))
+    means = train.agg(*[F.avg(F.when(inside[f], F.col("_y"))).alias(f"m{named[f]}") for f in views]).first()
+    prior = {f: means[f"m{named[f]}"] for f in views}
+    numbers = [m for f in views for m in (f"_n{named[f]}", f"_s{named[f]}")]
+    cells = _by_column(train, cols, [key, "_y", "_fold", "_digest"])
+    for f in views:
+        cells = cells.withColumn(f"_n{named[f]}", inside[f].cast("double")).withColumn(f"_s{named[f]}", F.when(inside[f], F.col("_y")).otherwise(0.0))
+    if not is_planned_small(cells):
+        cells = cells.withColumn("_bucket", F.conv(F.substring("_digest", 1, 3), 16, 10).cast("int"))
+    placed = running_totals(cells, ["_digest", key], numbers, ["_name", "_value"])
+
+    def mean(f, n, s):
+        p = F.lit(prior[f])
+        return (s + F.lit(float(weight)) * p) / (n + F.lit(float(weight)))
+
+    seen = {}
+    for f in views:
+        n, s = f"_n{named[f]}", f"_s{named[f]}"
+        before = mean(f, F.col(f"{n}_upto") - F.col(n), F.col(f"{s}_upto") - F.col(s))
+        seen[f] = F.when(F.col(n) > 0, before).otherwise(mean(f, F.col(f"{n}_total"), F.col(f"{s}_total")))
+    wide = [F.max(F.when(F.col("_name") == c, seen[f])).alias(f"{c}_OTS{named[f]}") for c in cols for f in views]
+    own = placed.groupBy(key).agg(*wide)
+    totals = cells.groupBy("_name", "_value").agg(*[F.sum(x).alias(x) for x in numbers])
+    totals = fitted(totals.select("_name", "_value", *[mean(f, F.col(f"_n{named[f]}"), F.col(f"_s{named[f]}")).alias(f"_all{named[f]}") for f in views]))
+    rest = base.where(F.col("_y").isNull()).select(key, *cols)
+    for c in cols:
+        of_c = totals.where(F.col("_name") == c).drop("_name")
+        rest = lookup(rest.withColumn("_value", F.col(c)), of_c, ["_value"]).drop("_value")
+        rest = rest.withColumns({f"{c}_OTS{named[f]}": F.coalesce(f"_all{named[f]}", F.lit(prior[f]).cast("double")) for f in views}).drop(*[f"_all{named[f]}" for f in views])
+    return own.unionByName(rest.select(*own.columns))
+
+
 class Impute:
     """Missing -> a constant, or the exact median over all rows."""
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import add
 
-from pyspark.ml import Estimator
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -15,11 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions import expr as E
-from rowloom.operators.encode import Factorize
+from rowloom.operators.encode import Factorize, ordered_means
 from rowloom.operators.folds import group_fold, with_folds
 from rowloom.operators.joins import skew_join
 from rowloom.operators.rollup import stat
 from rowloom.operators.schema import column_classes
+from rowloom.session import scratch_path
 
 #: Stand-in for a missing value: MLlib trees learn no direction for missing values.
 MISSING = -999.0
@@ -94,31 +97,79 @@ def _average(cols: Sequence[Column]) -> Column:
     return reduce(add, cols) / F.lit(float(len(cols)))
 
 
-def fit_folds(rows: DataFrame, make: Maker, fold: str, k: int) -> list:
-    """One model per fold, trained without it; boosted trees watch the fold for early stopping."""
-    models = []
+#: Column of the part a stored row lies in: its fold, or UNSEEN without one.
+_PART, UNSEEN = "_part", -1
+
+
+def stored_parts(rows: DataFrame, fold: str) -> DataFrame:
+    """``rows`` written once with a folder per fold, so that a fit or a scoring reads the folds it needs."""
+    parted = rows.withColumn(_PART, F.coalesce(F.col(fold).cast("int"), F.lit(UNSEEN)))
+    path = scratch_path(rows.sparkSession, "folds")
+    parted.write.partitionBy(_PART).parquet(path)
+    return rows.sparkSession.read.schema(parted.schema).parquet(path)
+
+
+def _of_fold(rows: DataFrame, f: int, own: Sequence[str]) -> DataFrame:
+    """``features`` with the columns that model f has for itself, which are named with its number."""
+    if not own:
+        return rows
+    assembler = VectorAssembler(inputCols=["features", *[f"{c}{f}" for c in own]], outputCol="_wide")
+    return assembler.transform(rows).drop("features").withColumnRenamed("_wide", "features")
+
+
+def _fitted_model(make: Maker, rows: DataFrame, f: int, path: str | None) -> Transformer:
+    """The model of fold f: read from ``path`` if an earlier run has left it there whole, else fitted and saved."""
+    if path:
+        try:
+            return PipelineModel.load(path)
+        except Exception:  # nothing there, or a part of a model: fit it again
+            pass
+    estimator = make()
+    if estimator.hasParam("validationIndicatorCol") and estimator.isDefined(estimator.validationIndicatorCol):
+        model = estimator.fit(rows.withColumn("_held_out", F.col(_PART) == f))
+    else:
+        model = estimator.fit(rows.where(F.col(_PART) != f))
+    if path:
+        PipelineModel(stages=[model]).write().overwrite().save(path)
+    return model
+
+
+def fit_folds(rows: DataFrame, make: Maker, k: int, own: Sequence[str] = (), save_to: str | None = None) -> list[Transformer]:
+    """One model per fold of ``stored_parts`` rows, trained without it; boosted trees watch the fold for early
+    stopping. The fits run side by side, so the last tasks of one leave no executor idle."""
+    train = rows.where(F.col("label").isNotNull() & (F.col(_PART) != UNSEEN))
+
+    def fit(f: int) -> Transformer:
+        return _fitted_model(make, _of_fold(train, f, own), f, f"{save_to}/{f}" if save_to else None)
+
+    with ThreadPoolExecutor(max_workers=k) as pool:
+        return list(pool.map(inheritable_thread_target(rows.sparkSession)(fit), range(k)))
+
+
+def _scored_by(rows: DataFrame, model: Transformer, out: str) -> DataFrame:
+    """One more score column. The score of a regressor is its prediction."""
+    scored = model.transform(rows)
+    score = positive() if "probability" in scored.columns else F.col("prediction")
+    return scored.withColumn(out, score).drop("rawPrediction", "probability", "prediction")
+
+
+def score_folds(rows: DataFrame, models: Mapping[str, Sequence[Transformer]], own: Sequence[str] = ()) -> DataFrame:
+    """A row of fold f goes through model f alone; a row without a fold gets the mean of all models."""
+    kept = [c for c in rows.columns if c != "features"]
+    k = len(next(iter(models.values())))
+    branches = []
     for f in range(k):
-        estimator = make()
-        if estimator.hasParam("validationIndicatorCol") and estimator.isDefined(estimator.validationIndicatorCol):
-            models.append(estimator.fit(rows.withColumn("_held_out", F.col(fold) == f)))
-        else:
-            models.append(estimator.fit(rows.where(F.col(fold) != f)))
-    return models
-
-
-def score_folds(rows: DataFrame, models: Sequence, fold: str, out: str) -> DataFrame:
-    """One pass: a row of fold f gets model f, a row without a fold the mean of all models. The
-    score of a regressor is its prediction."""
-    scored = rows
-    for f, model in enumerate(models):
-        scored = model.transform(scored)
-        scored = scored.withColumn(f"_p{f}", positive() if "probability" in scored.columns else F.col("prediction"))
-        scored = scored.drop("rawPrediction", "probability", "prediction")
-    ps = [F.col(f"_p{f}") for f in range(len(models))]
-    own = F.coalesce(*[F.when(F.col(fold) == f, p) for f, p in enumerate(ps)])
-    return scored.withColumn(out, F.when(F.col(fold).isNull(), _average(ps)).otherwise(own)).drop(
-        *[f"_p{f}" for f in range(len(models))]
-    )
+        part = _of_fold(rows.where(F.col(_PART) == f), f, own)
+        for name, fitted in models.items():
+            part = _scored_by(part, fitted[f], name)
+        branches.append(part.select(*kept, *models))
+    rest = rows.where((F.col(_PART) == UNSEEN) | (F.col(_PART) >= k))
+    for name, fitted in models.items():
+        for f, model in enumerate(fitted):
+            scored = _scored_by(_of_fold(rest.withColumn("_plain", F.col("features")), f, own), model, f"_p{f}")
+            rest = scored.drop("features").withColumnRenamed("_plain", "features")
+        rest = rest.withColumn(name, _average([F.col(f"_p{f}") for f in range(k)])).drop(*[f"_p{f}" for f in range(k)])
+    return reduce(DataFrame.unionByName, branches, rest.select(*kept, *models))
 
 
 def oof_fit(
@@ -130,19 +181,28 @@ def oof_fit(
     fold: str = "fold",
     k: int = 5,
     flags: bool = True,
+    categorical: Sequence[str] = (),
+    save_to: str | None = None,
 ) -> DataFrame:
     """(key, label, fold, <model>...): out-of-fold scores of labelled rows, fold-mean scores of
-    unlabelled rows, one column per model. ``flags`` adds a column per input with missing values."""
-    rows = feature_vector(df, features, nullable(df, features) if flags else ()).select(
-        key, F.col(label).cast("double").alias("label"), F.col(fold).alias("_fold"), "features"
-    ).persist()
-    train = rows.where(F.col("label").isNotNull())
-    scored = rows
-    for name, make in makers.items():
-        scored = score_folds(scored, fit_folds(train, make, "_fold", k), "_fold", name)
-    return scored.select(
-        key, F.col("label").cast("int").alias(label), F.col("_fold").alias(fold), *makers
+    unlabelled rows, one column per model. ``flags`` adds a column per input with missing values.
+
+    ``categorical`` names the features that are categories: each becomes its running label mean over the rows a
+    model is trained on (``encode.ordered_means``), in place of its code. Models are saved under ``save_to``, if
+    that is given, and a second run with the same inputs takes up those that are there.
+    """
+    plain = [c for c in features if c not in set(categorical)]
+    cats = [c for c in features if c in set(categorical)]
+    own: list[str] = []
+    if cats:
+        df = df.join(ordered_means(df, key, cols=cats, label=label, fold=fold, k=k), key, "left")
+        own = [f"{c}_OTS" for c in cats]
+    rows = feature_vector(df, plain, nullable(df, plain) if flags and plain else ()).select(
+        key, F.col(label).cast("double").alias("label"), F.col(fold).alias("_fold"), "features", *[f"{c}{f}" for c in own for f in range(k)]
     )
+    rows = stored_parts(rows, "_fold")
+    models = {name: fit_folds(rows, make, k, own, f"{save_to}/{name}" if save_to else None) for name, make in makers.items()}
+    return score_folds(rows, models, own).select(key, F.col("label").cast("int").alias(label), F.col("_fold").alias(fold), *makers)
 
 
 def seed_average(

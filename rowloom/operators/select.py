@@ -7,12 +7,14 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowloom.operators.folds import positions, sample_n, stratified
+from rowloom.operators.encode import fitted
+from rowloom.operators.folds import positions, sample_n, stratified, with_folds
 from rowloom.operators.oof import feature_vector, gbt
-from rowloom.session import scratch_path
+from rowloom.session import scratch_path, stored_by
 
 #: Columns per block of the correlation partial sums.
 BLOCK = 256
@@ -161,12 +163,34 @@ def shuffled_labels(df: DataFrame, key: str, label: str, seed: int) -> DataFrame
     return seats.join(cards, "_seat").select(key, label)
 
 
+#: Bins per column, as many as the trees use.
+BINS = 32
+
+
+def binned_matrix(df: DataFrame, key: str, features: Sequence[str], bins: int = BINS) -> DataFrame:
+    """(key, features): the number of the quantile bin of every feature, missing values in a bin of their own.
+
+    Bins are fitted and the vectors assembled once, and written by buckets of the key; whatever fits trees to them
+    with other labels or folds reads this table. Trees split on the order of values, which bins keep.
+    """
+    numbers = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(f"_f{i}") for i, c in enumerate(features)])
+    names = [f"_f{i}" for i in range(len(features))]
+    edges = numbers.replace(float("nan"), None).approxQuantile(names, [i / (bins - 1) for i in range(1, bins - 1)], 0.5 / bins)
+    inner = [sorted({x for x in e if abs(x) < float("inf")}) for e in edges]
+    # A column with one value has one bin.
+    splits = [[float("-inf"), *(e or [0.0]), float("inf")] for e in inner]
+    out = [f"_b{i}" for i in range(len(features))]
+    placed = Bucketizer(splitsArray=splits, inputCols=names, outputCols=out, handleInvalid="keep").transform(numbers)
+    # Plain numbers: Bucketizer marks its columns as categories, which trees would not split in order.
+    placed = placed.select(key, *[(F.col(b) + F.lit(0.0)).alias(b) for b in out])
+    return stored_by(VectorAssembler(inputCols=out, outputCol="features").transform(placed).select(key, "features"), key, "binned")
+
+
 def _split_importance(
-    df: DataFrame, key: str, features: Sequence[str], label: str, make: Callable[[], Estimator], k: int, seed: int
+    matrix: DataFrame, labels: DataFrame, key: str, features: Sequence[str], label: str, make: Callable[[], Estimator], k: int, seed: int
 ) -> DataFrame:
-    rows = feature_vector(_folded(df, key, label, k, seed), features).select(
-        F.col(label).cast("double").alias("label"), "fold", "features"
-    ).persist()
+    folded = with_folds(labels, key, label, k, seed).select(key, F.col(label).cast("double").alias("label"), "fold")
+    rows = matrix.join(folded, key).select("label", "fold", "features").persist()
     parts = None
     for f in range(k):
         counts = split_counts(make().fit(rows.withColumn("_held_out", F.col("fold") == f)), features)
@@ -182,14 +206,15 @@ def null_importance(
 ) -> DataFrame:
     """(feature, run, importance): run -1 has the true labels, the others shuffled ones.
 
-    The classifiers are fitted on a sample of at most ``sample`` labelled rows.
+    The classifiers are fitted on a sample of at most ``sample`` labelled rows, whose binned features all fits share.
     """
     make = make or (lambda s: gbt(s, trees=40, rate=0.05))
     rows = sample_n(df.where(F.col(label).isNotNull()), key, sample, seed)
-    out = _split_importance(rows, key, features, label, lambda: make(seed), k, seed).withColumn("run", F.lit(-1))
+    matrix, labels = binned_matrix(rows, key, features), fitted(rows.select(key, label))
+    out = _split_importance(matrix, labels, key, features, label, lambda: make(seed), k, seed).withColumn("run", F.lit(-1))
     for run in range(runs):
-        dealt = rows.drop(label).join(shuffled_labels(rows, key, label, 100 + run), key)
-        part = _split_importance(dealt, key, features, label, lambda run=run: make(100 + run), k, 100 + run)
+        dealt = shuffled_labels(labels, key, label, 100 + run)
+        part = _split_importance(matrix, dealt, key, features, label, lambda run=run: make(100 + run), k, 100 + run)
         out = out.unionByName(part.withColumn("run", F.lit(run)))
     return out.select("feature", "run", "importance")
 

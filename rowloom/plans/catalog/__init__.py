@@ -7,6 +7,7 @@ from rowloom.plans.catalog import (  # noqa: F401
     joins,
     models,
     preset_sums,
+    preset_sums_main,
     presets,
     projections,
     sources,

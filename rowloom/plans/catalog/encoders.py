@@ -141,6 +141,26 @@ def group_folds(spark, d):
     return table(spark, d, "orders").select("o_orderkey", "o_custkey", folds.group_fold("o_custkey").alias("fold"))
 
 
+def _ordered_sql(c: str, fold: int | None) -> str:
+    """Running mean of the label per category over a hashed order; the whole category where a row is not learned from."""
+    value, learned = f"coalesce({c}, 'none')", "target IS NOT NULL" + ("" if fold is None else f" AND fold <> {fold}")
+    over = f"PARTITION BY {value} ORDER BY md5(concat(id, '-42')), id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    prior = f"(SELECT avg(target) FROM folded WHERE {learned})"
+    mean = lambda over: f"(coalesce(sum(target) FILTER (WHERE {learned}) OVER ({over}), 0) + {prior}) / (count(*) FILTER (WHERE {learned}) OVER ({over}) + 1)"
+    name = f"{c}_OTS" + ("" if fold is None else str(fold))
+    return f"round(CASE WHEN {learned} THEN {mean(over)} ELSE {mean(f'PARTITION BY {value}')} END, 6) AS {name}"
+
+
+@query("ordered_target", f"WITH {FOLDED} SELECT id, {_ordered_sql('lang', None)}, {_ordered_sql('source', None)} FROM folded")
+def ordered_target(spark, d):
+    return rounded(encode.ordered_means(folded(spark, d), "id", ["lang", "source"], "target"))
+
+
+@query("ordered_target_folds", f"WITH {FOLDED} SELECT id, {', '.join(_ordered_sql(c, f) for c in ('lang', 'source') for f in range(5))} FROM folded")
+def ordered_target_folds(spark, d):
+    return rounded(encode.ordered_means(folded(spark, d), "id", ["lang", "source"], "target", fold="fold", k=5))
+
+
 @query(
     "balanced_group_folds",
     """WITH s AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey),

@@ -33,13 +33,13 @@ def oof_score(spark, d):
         "forest": lambda: oof.forest(trees=8, depth=4),
         "logistic": lambda: oof.logistic(rounds=20),
     }
-    return oof.oof_fit(folded(spark, d, 3), "id", _FEATURES, "target", makers, k=3)
+    return oof.oof_fit(folded(spark, d), "id", _FEATURES, "target", makers)
 
 
 @query("seed_average")
 def seed_average(spark, d):
     return oof.seed_average(
-        applicants(spark, d), "id", _FEATURES, "target", lambda s: oof.forest(s, trees=6, depth=4), seeds=(456, 789), k=3
+        applicants(spark, d), "id", _FEATURES, "target", lambda s: oof.forest(s, trees=6, depth=4)
     )
 
 
@@ -86,7 +86,7 @@ def importance_select(spark, d):
 @query("null_importance")
 def null_importance(spark, d):
     table_ = select.null_importance(
-        applicants(spark, d), "id", _FEATURES, "target", lambda s: oof.gbt(s, trees=3, depth=3, cols="all"), runs=2, k=2
+        applicants(spark, d), "id", _FEATURES, "target", lambda s: oof.gbt(s, trees=3, depth=3, cols="all")
     )
     return select.keep_rule(table_)
 
@@ -129,11 +129,11 @@ def oof_line(spark, d):
 
 @query(
     "seed_average_line",
-    f"""WITH {APPLICANTS}, {_lines_sql(3, 456, 'a')}, {_lines_sql(3, 789, 'b')}
-    SELECT id, a.target, round((a.score + b.score) / 2, 6) AS score FROM a JOIN b USING (id)""",
+    f"""WITH {APPLICANTS}, {_lines_sql(5, 456, 'a')}, {_lines_sql(5, 789, 'b')}, {_lines_sql(5, 1234, 'c')}
+    SELECT id, a.target, round((a.score + b.score + c.score) / 3, 6) AS score FROM a JOIN b USING (id) JOIN c USING (id)""",
 )
 def seed_average_line(spark, d):
-    scored = oof.seed_average(applicants(spark, d), "id", ["chars"], "target", lambda seed: _line(), seeds=(456, 789), k=3)
+    scored = oof.seed_average(applicants(spark, d), "id", ["chars"], "target", lambda seed: _line())
     return scored.select("id", "target", r6("seed_avg").alias("score"))
 
 
@@ -172,7 +172,7 @@ def child_submodel_line(spark, d):
 
 @query(
     "oof_score_rules",
-    f"""WITH {APPLICANTS}, {folds_sql(3)}
+    f"""WITH {APPLICANTS}, {folds_sql()}
     SELECT fold, count(*) AS n, count(DISTINCT id) AS ids, 0::BIGINT AS bad FROM folded GROUP BY fold""",
 )
 def oof_score_rules(spark, d):

@@ -113,10 +113,10 @@ def limit_rows_rules(spark, d):
     return rows.agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("n_distinct")).withColumn("strangers", strangers)
 
 
-@query("limit_rows")
+@query("limit_rows", "SELECT o_orderkey, coalesce(o_totalprice > 0, false)::INT AS priced FROM orders ORDER BY o_orderkey LIMIT 1000")
 def limit_rows(spark, d):
-    """The debug row cap of a scan."""
+    """The debug row cap of a scan, by an order."""
     path = f"{d}/orders.parquet"
-    return io.scan(spark, path, spark.read.parquet(path).schema, limit=1000).select(
+    return io.scan(spark, path, spark.read.parquet(path).schema, limit=1000, order=["o_orderkey"]).select(
         "o_orderkey", E.flag(F.col("o_totalprice") > 0).alias("priced")
     )

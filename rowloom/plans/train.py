@@ -14,7 +14,7 @@ from rowloom.operators.assemble import join_features
 from rowloom.plans import credit
 from rowloom.plans.credit import EXT, KEY, LABEL
 from rowloom.plans.matrix import model_matrix
-from rowloom.session import stored
+from rowloom.session import stored, stored_by
 from rowloom.sources import io
 
 FILES = {
@@ -103,7 +103,7 @@ def _reports(scored: DataFrame, names: list[str], grid: list | None = None) -> d
     ranks = rank.rank_norm(known, KEY, names)
     tables = {"auc": rank.auc_by_model(known, LABEL, names), "rank_correlation": rank.corr_matrix(ranks, names)}
     if grid:
-        tables["fold_weights"] = blend.best_of(blend.grid_auc(known, LABEL, names, grid, ["fold"]), ["fold"])
+        tables["fold_weights"] = blend.best_vector(known, LABEL, names, grid, ["fold"])
     return tables
 
 
@@ -172,15 +172,16 @@ def _run_early(tables: Mapping[str, DataFrame], generation: str, s: Settings) ->
     text = schema.column_classes(df.drop(KEY, LABEL))[1]
     if text:
         df = encode.OneHot(text).fit(df).transform(df)
-    # The wide table is written once; every later step scans the columns it needs.
-    wide = stored(df, "wide")
+    # The wide table is written once, by buckets of the id; every later step scans the columns it needs, and joins on
+    # the id move only the other side.
+    wide = stored_by(df, KEY, "wide")
     placed = folds.stratified(wide, KEY, LABEL, s.folds, s.seed).select(KEY, "fold")
     near_cols = [*EXT, "APP_CREDIT_ANNUITY_RATIO"]
     folded = wide.select(KEY, LABEL, *near_cols).join(placed, KEY, "left")
     near = knn.target_mean(folded, KEY, near_cols, LABEL, ks=s.knn, fill="median", test="all", name="NEIGHBORS")
     near = near.select(KEY, F.col(f"NEIGHBORS_{s.knn[0]}").alias("NEIGHBORS_TARGET_MEAN"))
     df = schema.clean_names(join_features(wide, [near], KEY)).join(placed, KEY, "left")
-    df = stored(df, "matrix")
+    df = stored_by(df, KEY, "matrix")
     features = [c for c in df.columns if c not in (KEY, LABEL, "fold")]
     if generation in ("4", "5"):
         must = [c for c in features if c == "NEIGHBORS_TARGET_MEAN" or c.startswith("APP_EXT_SOURCE")]
@@ -190,13 +191,13 @@ def _run_early(tables: Mapping[str, DataFrame], generation: str, s: Settings) ->
     makers = oof.families(s.seed, s.trees)
     if generation in ("1", "1v2"):
         makers.pop("logistic")
-    scored = stored(oof.oof_fit(df, KEY, features, LABEL, makers, k=s.folds))
+    scored = stored_by(oof.oof_fit(df, KEY, features, LABEL, makers, k=s.folds), KEY, "scored")
     weights = FIXED_WEIGHTS.get(generation)
     names = list(makers)
     grid = None
     if weights is None:
         grid = blend.triple_grid() if len(names) == 3 else blend.pair_grid()
-        top = blend.best_of(blend.grid_auc(scored, LABEL, names, grid)).first()
+        top = blend.best_vector(scored, LABEL, names, grid).first()
         weights = {c: top[f"w_{c}"] for c in names}
     mixed = scored.select(KEY, LABEL, blend.mix(weights).alias("p"))
     score = rank.auc(mixed, LABEL, "p").first()["auc"]
@@ -215,22 +216,22 @@ def _predicted_sources(base: DataFrame) -> DataFrame:
 def _run6(tables: Mapping[str, DataFrame], s: Settings) -> Result:
     df = credit.build_dataset(tables, "6")
     df = join_features(df, submodel_tables(tables, df.select(KEY, LABEL), s), KEY)
-    wide = stored(df, "wide")
+    wide = stored_by(df, KEY, "wide")
     placed = folds.stratified(wide, KEY, LABEL, s.folds, s.seed).select(KEY, "fold")
-    folded = stored(wide.join(placed, KEY, "left"), "folded")
+    folded = stored_by(wide.join(placed, KEY, "left"), KEY, "folded")
     near_cols = [*EXT, "CREDIT_ANNUITY_RATIO"]
     near = knn.target_mean(
         folded.select(KEY, LABEL, "fold", *near_cols), KEY, near_cols, LABEL, ks=s.knn6, fill=-999, test="fold_avg"
     )
-    df = stored(join_features(folded, [stored(encode6(folded, s), "encoded"), near], KEY), "encoded_wide")
+    df = stored_by(join_features(folded, [stored_by(encode6(folded, s), KEY, "encoded"), near], KEY), KEY, "encoded_wide")
     matrix = model_matrix(df, KEY, LABEL)
-    wide = stored(matrix.frame, "matrix")
+    wide = stored_by(matrix.frame, KEY, "matrix")
     shadow = select.null_importance(wide, KEY, matrix.features, LABEL, runs=s.null_runs, sample=s.null_sample, seed=s.seed)
     kept = {r["feature"] for r in select.keep_rule(shadow).where("keep = 1").collect()}
     features = [c for c in matrix.features if c in kept] or matrix.features
     gains = select.gain_importance(wide, KEY, features, LABEL, folds=(0, 1, 2), seed=s.seed)
     lists = select.subsets(gains, features, s.top_features)
-    scored = oof.oof_fit(wide, KEY, lists["all"], LABEL, oof.families(s.seed, s.trees), k=s.folds)
+    scored = oof.oof_fit(wide, KEY, lists["all"], LABEL, oof.families(s.seed, s.trees), k=s.folds, categorical=matrix.categorical)
     top = oof.oof_fit(
         folds.with_folds(wide, KEY, LABEL, s.folds, 123), KEY, lists["top"], LABEL,
         {"gbt_top": lambda: oof.gbt(123, s.trees, 0.1, 5, 0.75, "0.35")}, k=s.folds,
@@ -238,15 +239,13 @@ def _run6(tables: Mapping[str, DataFrame], s: Settings) -> Result:
     averaged = oof.seed_average(
         wide, KEY, lists["no_prefix"], LABEL, lambda seed: oof.gbt(seed, s.trees, 0.1, 6), s.seeds, s.folds
     )
-    scored = stored(
-        scored.join(top.select(KEY, "gbt_top"), KEY).join(averaged.select(KEY, "seed_avg"), KEY)
-    )
+    scored = stored_by(scored.join(top.select(KEY, "gbt_top"), KEY).join(averaged.select(KEY, "seed_avg"), KEY), KEY, "scored")
     names = [c for c in scored.columns if c not in (KEY, LABEL, "fold")]
     raw = _present(wide, STACK_RAW)
     stacked = oof.stack(
         scored.join(wide.select(KEY, *raw), KEY), KEY, names, LABEL, raw, k=s.folds
     )
-    scored = stored(scored.join(stacked.select(KEY, "stack_lr"), KEY))
+    scored = stored_by(scored.join(stacked.select(KEY, "stack_lr"), KEY), KEY, "stacked")
     names.append("stack_lr")
     weights, blend_auc = blend.capped_weights(scored, KEY, LABEL, names, step=s.blend_step)
     stack_auc = rank.auc(scored, LABEL, "stack_lr").first()["auc"]
@@ -259,17 +258,23 @@ def _run6(tables: Mapping[str, DataFrame], s: Settings) -> Result:
 
 
 def main(spark: SparkSession, data_dir: str, out_dir: str, generation: str, s: Settings | None = None) -> Result:
-    """Read a folder of CSV tables, write the prediction file of one generation."""
+    """Read a folder of CSV tables, write the prediction file of one generation and the reports of the run."""
     tables = load_tables(spark, data_dir, "error" if generation == "6" else "empty")
     result = run(tables, generation, s)
-    io.write_predictions(result.predictions, f"{out_dir.rstrip('/')}/{OUTPUT[generation]}")
+    file = OUTPUT[generation]
+    io.write_predictions(result.predictions, f"{out_dir.rstrip('/')}/{file}")
+    io.write_reports({f"{file.removesuffix('.csv')}_{name}": t for name, t in result.reports.items()}, out_dir)
     return result
 
 
 def blend_files(spark: SparkSession, roots, table, out_dir: str, anchor: str = "sub6") -> DataFrame:
-    """Discover prediction files, blend each candidate and write it; returns all blends."""
+    """Discover prediction files, blend each candidate and write it, with the correlations of the files and those to
+    the anchor, weakest first; returns all blends."""
     found = io.discover(spark, roots, credit.PREDICTION_FILES, anchor).collect()
     wide = io.load_wide(spark, {r["key"]: r["path"] for r in found})
+    names = [c for c in wide.columns if c != KEY]
+    matrix = stored(rank.corr_matrix(wide, names), "correlations")
+    io.write_reports({"prediction_correlation": matrix, "anchor_correlation": rank.anchor_correlations(matrix, anchor)}, out_dir)
     blends = stored(blend.candidates(wide, KEY, table, anchor))
     for (name,) in blends.select("candidate").distinct().collect():
         io.write_predictions(

@@ -27,11 +27,12 @@ def scan(
     missing: str = "error",
     limit: int | None = None,
     fmt: str | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Read CSV (with header) or Parquet with a declared schema.
 
     ``missing="empty"`` turns an absent path into an empty table; ``"error"`` raises.
-    ``limit`` is the debug row cap.
+    ``limit`` is the debug row cap: the rows that come first by ``order``, or any rows without one.
     """
     schema = _schema(schema)
     if not path_exists(spark, path):
@@ -44,7 +45,9 @@ def scan(
         df = spark.read.schema(schema).option("enforceSchema", False).csv(path, header=True)
     if columns:
         df = df.select(*columns)
-    return df.limit(limit) if limit else df
+    if not limit:
+        return df
+    return (df.orderBy(*order) if order else df).limit(limit)
 
 
 def infer_csv_schema(spark: SparkSession, path: str, ids: Sequence[str] = (), sample: float = 1.0) -> T.StructType:
@@ -132,6 +135,16 @@ def load_wide(
     return wide
 
 
+def write_reports(tables: Mapping[str, DataFrame], out_dir: str, mode: str = "error") -> dict[str, str]:
+    """Write each report table as CSV beside the predictions, in a folder ``report_<name>``; gives the paths.
+
+    Reports have a row per model, fold or pair of models, so each is one small file."""
+    paths = {name: f"{out_dir.rstrip('/')}/report_{name}" for name in tables}
+    for name, table in tables.items():
+        table.coalesce(1).write.mode(mode).option("header", True).csv(paths[name])
+    return paths
+
+
 def write_predictions(df: DataFrame, path: str, fmt: str = "csv", mode: str = "error") -> str:
     """Write (id, prediction) as a directory of part files, from all executors at once."""
     writer = df.write.mode(mode)

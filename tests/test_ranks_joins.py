@@ -144,3 +144,17 @@ def test_few_vectors_are_graded_exactly(spark):
     assert blend.best_vector(one_class.limit(50), "y", ["p", "q"], [(1.0, 0.0), (0.0, 1.0)]).first()["auc"] is None
     nothing, two = df.limit(0), [(1.0, 0.0), (0.0, 1.0)]
     assert blend.best_vector(nothing, "y", ["p", "q"], two).collect() == blend.best_of(blend.grid_auc(nothing, "y", ["p", "q"], two)).collect()
+
+
+def test_refined_weights_beat_their_neighbours(spark):
+    """The search ends where no shift of the smallest size helps, graded by plain pair counts."""
+    df = _scored(spark, 2500, seed=3)
+    pdf = df.toPandas().sort_values("id")
+    ranks = pdf[["p", "q", "r"]].rank() / len(pdf)
+    weights, score = blend.capped_weights(df, "id", "y", ["p", "q", "r"], cap=0.6, step=0.05)
+    w = np.array([weights[c] for c in ("p", "q", "r")])
+    assert abs(w.sum() - 1) < 1e-9 and w.max() <= 0.6 + 1e-9
+    grade = lambda v: brute_auc(pdf.y.values, ranks.to_numpy() @ np.array(v))
+    assert abs(grade(w) - score) < 1e-9
+    assert all(grade(v) <= score + 1e-12 for v in blend._neighbours(tuple(w), 0.05, 0.6))
+    assert all(grade(v) <= score + 1e-12 for v in blend.simplex_grid(3, 5, 0.6))
