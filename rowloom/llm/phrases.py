@@ -68,7 +68,9 @@ def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
 
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """The index: (key, pos, term) of every occurrence of the given terms in (doc_id, text)."""
-    located = docs.select(document_key("doc_id", "text").alias("key"), F.posexplode(_parts(F.col("text"))).alias("pos", "raw"))
+    # The key is worked out below the generator, once per document and not once per word.
+    keyed = docs.select(document_key("doc_id", "text").alias("key"), _parts(F.col("text")).alias("parts"))
+    located = keyed.select("key", F.posexplode("parts").alias("pos", "raw"))
     return located.select("key", "pos", _lowered(F.col("raw")).alias("term")).join(terms, "term", "left_semi")
 
 
