@@ -81,14 +81,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             bucket, counts = buckets(block.column("text"))
-            offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in ("doc_id", "half", "good")), pa.ListArray.from_arrays(pa.array(offsets), pa.array(bucket))], names=["doc_id", "half", "good", "buckets"])
+            raw, ends = bucket.astype(np.uint16).tobytes(), (2 * np.append(0, np.cumsum(counts))).tolist()
+            packed = pa.array([raw[a:b] for a, b in zip(ends, ends[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in ("doc_id", "half", "good")), packed], names=["doc_id", "half", "good", "buckets"])
 
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", half("doc_id").alias("half"), "good", "text")
-    once = found.mapInArrow(run, "doc_id long, half int, good int, buckets array<int>").groupBy("doc_id").agg(F.min("half").alias("half"), F.min("good").alias("good"), F.min("buckets").alias("buckets"))
+    once = found.mapInArrow(run, "doc_id long, half int, good int, buckets binary").groupBy("doc_id").agg(F.min("half").alias("half"), F.min("good").alias("good"), F.min("buckets").alias("buckets"))
     rows = once.orderBy("doc_id").collect()
     sides = [[r for r in rows if r["half"] == h] for h in (0, 1)]
-    return np.stack([fit_half([np.array(r["buckets"], np.int64) for r in side], np.array([r["good"] for r in side], float)) for side in sides])
+    return np.stack([fit_half([np.frombuffer(r["buckets"], np.uint16).astype(np.int64) for r in side], np.array([r["good"] for r in side], float)) for side in sides])
 
 
 def half(id: str) -> F.Column:
