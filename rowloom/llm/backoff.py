@@ -22,7 +22,7 @@ STRENGTHS with the largest leave-one-out likelihood of all training texts; score
 from the same traversal.
 
 A null text counts as empty and has one token, the end. Words are runs other than white space, with A to Z
-lower-cased; they go by XXH3, n-grams by a mixture of hashes, 64 bits each. Repeated rows are repeated texts (and
+lower-cased; they go by hashes, n-grams by a mixture of hashes, 64 bits each. Repeated rows are repeated texts (and
 count as often in training); an id may be null (then its ``train`` flag decides as given). Without training texts
 every count is zero. Of strengths with equal likelihood the larger one is taken. Long texts are read in segments
 whose first state is found from the words before. Extra columns are not used.
@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.arrowtext import LOWER, SPACED, blocks, mixed, spans, text_bytes, word_dictionary
+from rowloom.llm.arrowtext import LOWER, SPACED, blocks, mixed, span_hashes, spans, text_bytes
 from rowloom.session import scratch_path, stored
 
 CHUNK_BYTES = 8 << 20
@@ -53,6 +53,8 @@ STRENGTHS = (3.0, 30.0, 300.0, 3e3, 1e6)
 ORDER = 3
 #: Words of a text that are read one after the other; the segments of all texts are read side by side.
 SEGMENT = 1024
+#: Words of more bytes are hashed one by one.
+LONG = 64
 
 _END, _BEGIN = np.uint64(0xE0D0E0D0E0D0E0D1), np.uint64(0xB0E0B0E0B0E0B0E1)
 _CHUNK = "chunk long, n_tokens long, ids array<long>, train array<boolean>, texts array<string>"
@@ -104,10 +106,14 @@ def chunks(docs: DataFrame) -> DataFrame:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """XXH3 of each word, worked out once per distinct word."""
-    coded = word_dictionary(data, starts, ends)
-    distinct = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    return distinct[coded.indices.to_numpy(zero_copy_only=False)] if len(starts) else distinct
+    """A hash of each word: a mixed polynomial, and XXH3 for words of over LONG bytes, where polynomials modulo a
+    power of two have known clashes."""
+    out = span_hashes(data, starts, ends)
+    long = np.flatnonzero(ends - starts > LONG)
+    if len(long):
+        raw = data.tobytes()
+        out[long] = [xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(starts[long].tolist(), ends[long].tolist())]
+    return out
 
 
 class Chunk:
@@ -134,7 +140,7 @@ class Chunk:
         hashes = np.empty(len(starts), np.uint64)
         low = 0
         while low < len(n):  # some megabytes at once
-            high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + (4 << 20), "right")) - 1)
+            high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + (2 << 20), "right")) - 1)
             a, b = bounds[low], bounds[high]
             hashes[a:b] = word_hashes(data[offsets[low] : offsets[high]], starts[a:b] - offsets[low], ends[a:b] - offsets[low])
             low = high

@@ -500,3 +500,9 @@ def test_clean_keeps_columns_of_any_name(spark):
     docs = spark.createDataFrame([(1, "one two three", "k"), (2, "other words", "l")], "doc_id long, text string, __key string")
     items = spark.createDataFrame([("a", "two three")], "item_id string, text string")
     assert [tuple(r) for r in phrases.clean(docs, items).collect()] == [(2, "other words", "l")]
+
+
+def test_long_words_with_one_polynomial_hash_differ():
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    chunk = backoff.Chunk(pa.array(["".join("ab"[b] for b in bits) + " " + "".join("ba"[b] for b in bits)]), np.array([True]), 2)
+    assert len(chunk.keys[0]) == 4
