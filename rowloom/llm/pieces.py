@@ -29,7 +29,7 @@ from rowloom.llm.arrowtext import appended, list_array, text_array
 
 MARK = "▁"
 #: Distinct words a worker keeps; the table is begun anew when it is full.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 100_000
 #: Bytes of text that are encoded, and ids that are decoded, at once.
 TEXT_BYTES, IDS = 2 << 20, 1 << 18
 #: Words with more symbols than this use the heap.
