@@ -9,6 +9,8 @@ stage encodes what is left and checks the way back. All other documents stay, wi
 Null and empty texts are rejected by the first stage. Long texts pass every stage whole. Of repeated rows, and of
 other exact or near copies, near-dedup keeps one; there are no other ties. Extra columns stay up to the last stage
 (one named like an added column is replaced). An empty table gives an empty result.
+
+The stages with Python workers bound the bytes of an Arrow batch in the session they run in (``bounded_batches``).
 """
 
 from __future__ import annotations
@@ -18,12 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm import lineruns, phrases, pieces, simhash, stringkernel
-from rowloom.session import stored
+from rowloom.session import bounded_batches, stored
 
 MODEL = "piece_bpe_32k.model"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     model = stringkernel.fit(docs, key="doc_id")
     rest = docs.drop("lang_pred", "score")
     known = stringkernel.predict(rest, model).where("lang_pred <> 'und'").withColumn("lang", F.col("lang_pred"))
@@ -31,11 +34,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     less = lineruns.without_repeats(docs).where("n_removed = 0 OR n_removed < n_lines")
     return less.withColumn("n_chars", F.length("text").cast("long")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return simhash.representatives(docs)
 
 
@@ -44,6 +49,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     model = public_tokenizers.path(MODEL)
     ids = pieces.encode(docs.select("doc_id", "lang", "source", "text"), model, back="decoded")
     return ids.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.col("text")).alias("round_trip"))

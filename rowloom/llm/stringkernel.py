@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -43,8 +43,11 @@ SHARPNESS = 4.0
 #: Texts whose presence vectors are held at once.
 TOGETHER = 256
 
-_FOLD = np.where(LOWER < 128, np.where(byte_class((0, 96), (123, 127))[LOWER], LOWER, 32), LOWER).astype(np.uint8)
-_SPACE = {1: 1 << 8, 2: 1 << 16, 3: 1 << 24}
+#: The bytes that texts are compared by, numbered without gaps in their order: codes of n-grams stay small, and so
+#: do the tables over all codes.
+_KINDS, _FOLD = np.unique(np.where(LOWER < 128, np.where(byte_class((0, 96), (123, 127))[LOWER], LOWER, 32), LOWER), return_inverse=True)
+_FOLD = _FOLD.astype(np.uint8)
+_SPACE = {n: len(_KINDS) ** n for n in (1, 2, 3)}
 
 
 @dataclass
@@ -75,7 +78,7 @@ def _codes(data: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     """Code of every n-gram inside a text, and its text."""
     code = data[: len(data) - n + 1].astype(np.int32)
     for k in range(1, n):
-        code = (code << 8) | data[k : len(data) - n + 1 + k]
+        code = code * np.int32(len(_KINDS)) + data[k : len(data) - n + 1 + k]
     if n == 1:
         return code, text
     inside = text[: len(data) - n + 1] == text[n - 1 :]
@@ -136,6 +139,18 @@ def train(texts: list[str], labels: list[str], chosen: list[int], ridge: float =
     return model
 
 
+def _bounds(spark: SparkSession, wanted: dict[tuple[str, bool], tuple[int, int]], below: dict[tuple[str, bool], float]) -> DataFrame:
+    """How many texts of each (language, long) are wanted, and below which share. An Arrow table becomes a local
+    relation; a list of rows would start Python workers of their own on the executors."""
+    columns = {
+        "__lang": pa.array([lang for lang, _ in below], pa.string()),
+        "__long": pa.array([long for _, long in below], pa.bool_()),
+        "__need": pa.array([wanted[k][0] for k in below], pa.int64()),
+        "__below": pa.array(list(below.values()), pa.float64()),
+    }
+    return spark.createDataFrame(pa.table(columns))
+
+
 def fit(docs: DataFrame, key: str, text: str = "text", lang: str = "lang", per_class: int = PER_CLASS, landmarks: int = LANDMARKS) -> Model:
     """A model from a bounded sample of the labelled rows."""
     lettered = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
@@ -154,7 +169,7 @@ def fit(docs: DataFrame, key: str, text: str = "text", lang: str = "lang", per_c
         """The first texts of every (language, long) among those whose share of the hashes is below the given one."""
         if not below:
             return []
-        parts = docs.sparkSession.createDataFrame([(*k, wanted[k][0], v) for k, v in below.items()], "__lang string, __long boolean, __need long, __below double")
+        parts = _bounds(docs.sparkSession, wanted, below)
         near = docs.join(F.broadcast(parts), (F.col(lang) == F.col("__lang")) & (long == F.col("__long"))).where(lettered & (share < F.col("__below")))
         chosen = near.select(F.col(lang).alias("lang"), F.col("__long").alias("long"), "__need", F.col(text).alias("t"), share.alias("h"))
         ranked = chosen.withColumn("r", F.row_number().over(order)).where((F.col("r") <= per_class) & (F.col("r") <= F.col("__need")))

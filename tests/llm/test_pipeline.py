@@ -1,12 +1,17 @@
 """The pipeline against plain versions of its stages, each on its own input."""
 
 import corpus_pipeline
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 from test_models_and_records import plain_contamination
 from test_text_operators import plain_components, plain_fingerprint, plain_line_dedup
 
+from rowloom.llm import stringkernel
+from rowloom.session import BATCH_BYTES, bounded_batches
+
 
 def held(df):
     return {r.doc_id: r for r in df.collect()}
@@ -85,3 +90,40 @@ def test_pipeline_of_awkward_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         none = stage(spark, none, SMALL)
     assert none.collect() == []
+
+
+def test_batches_of_the_pipeline_are_bounded(spark):
+    """30 MB of text in one partition: no batch that a worker gets is much larger than BATCH_BYTES."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(0, 3000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 1000).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    for name_, stage in corpus_pipeline.STAGES:
+        if name_ in ("language", "line_dedup", "near_dedup", "tokens"):
+            spark.conf.unset(name)
+            stage(spark, docs.limit(0).select(*docs.columns, F.lit(0).cast("long").alias("n_chars")), SMALL)
+            got = docs.mapInArrow(sizes, "n long, size long").collect()
+            assert sum(r.n for r in got) == 3000 and max(r.size for r in got) < BATCH_BYTES + (1 << 20)
+    spark.conf.set(name, "1m")
+    bounded_batches(spark)
+    assert spark.conf.get(name) == "1m"  # a smaller limit stays
+    spark.conf.set(name, before)
+
+
+def test_language_starts_no_other_python_workers(spark):
+    """The bounds of the sample are a local relation, not rows that a Python RDD brings."""
+    parts = stringkernel._bounds(spark, {("en", False): (400, 9000), ("de", True): (3, 7)}, {("en", False): 0.3, ("de", True): 2.0})
+    assert "ExistingRDD" not in parts._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, parts.collect())) == [("de", True, 3, 2.0), ("en", False, 400, 0.3)]
+
+
+def test_tables_of_a_worker_stay_small():
+    """All trigrams of the bytes that are left after folding, four bytes each, and no more."""
+    model = stringkernel.train(["der die das und", "the and of it", "\u00e9t\u00e9 \U0001f600"], ["de", "en", "fr"], [0, 1, 2])
+    found = stringkernel.tables(model)
+    assert sum(t.nbytes for t in found.values()) < 16 << 20
+    assert all(np.flatnonzero(found[n] >= 0).tolist() == model.grams[n].tolist() for n in found)
