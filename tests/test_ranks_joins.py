@@ -158,3 +158,55 @@ def test_refined_weights_beat_their_neighbours(spark):
     assert abs(grade(w) - score) < 1e-9
     assert all(grade(v) <= score + 1e-12 for v in blend._neighbours(tuple(w), 0.05, 0.6))
     assert all(grade(v) <= score + 1e-12 for v in blend.simplex_grid(3, 5, 0.6))
+
+
+def _pair_share(y, x):
+    """Positives above negatives, ties half, by comparing all pairs; NaN is one value, above all others."""
+    x = np.where(np.isnan(x), np.inf, x)
+    below = (x[:, None] > x[None, :]) + 0.5 * (x[:, None] == x[None, :])
+    pairs = y.sum() * (1 - y).sum()
+    return float((y[:, None] * (1 - y)[None, :] * below).sum() / pairs) if pairs else None
+
+
+def test_grid_auc_in_passes_and_ranges(spark, monkeypatch):
+    """Scores travel once per range, packed, a few vectors at a time; settings are as before afterwards."""
+    rng = np.random.default_rng(5)
+    n = 300
+    frame = pd.DataFrame({
+        "g": [None if i % 7 == 0 else "ab"[i % 2] for i in range(n)], "y": [None if i % 11 == 0 else int(i % 3 == 0) for i in range(n)],
+        "p": rng.normal(size=n).round(2), "q": rng.choice([0.0, -0.0, 1e300, np.nan, -5.0], n), "r": rng.choice([0.25, 0.5], n),
+    })
+    missing = rng.random(n) < 0.05
+    values = [(r.g, None if pd.isna(r.y) else int(r.y), None if m else float(r.p), float(r.q), float(r.r)) for r, m in zip(frame.itertuples(), missing)]
+    df = spark.createDataFrame(values, "g string, y int, p double, q double, r double")
+    grid = [(1.0, 0.0, 0.0), (0.0, 1.0, 0.0), (0.0, 0.0, 1.0), (0.5, 0.2, 0.3), (-1.0, 0.0, 0.5)]
+    for name, value in (("PASS_VALUES", 1), ("PASS_VECTORS", 2), ("RANGE_ROWS", 40), ("HELD_ROWS", 50)):
+        monkeypatch.setattr(blend, name, value)
+    names = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before = [spark.conf.get(x) for x in names]
+    for by in ([], ["g"]):
+        got = {(*[r[c] for c in by], r["w_index"]): r["auc"] for r in blend.grid_auc(df, "y", ["p", "q", "r"], grid, by).collect()}
+        kept = [v for v in values if v[1] is not None and v[2] is not None]
+        for key in {tuple(v[:1]) if by else () for v in kept}:
+            part = [v for v in kept if not by or v[:1] == key]
+            y, s = np.array([v[1] for v in part]), np.array([v[2:] for v in part], float)
+            for i, w in enumerate(grid):
+                with np.errstate(over="ignore"):
+                    want = _pair_share(y, s[:, 0] * w[0] + s[:, 1] * w[1] + s[:, 2] * w[2])
+                assert got.pop((*key, i)) == pytest.approx(want, abs=1e-12)
+        assert not got
+    assert [spark.conf.get(x) for x in names] == before
+
+
+def test_packed_runs():
+    rng = np.random.default_rng(3)
+    for scores in (rng.normal(size=500), rng.integers(0, 3, 500) * 1.0, np.array([-np.inf, np.inf, 1e-300, -1.0]), np.array([2.0])):
+        keys = np.sort(blend._keys(scores.copy()))
+        runs = list(blend._runs(keys, np.sort(blend._keys(rng.choice(scores, 2)))))
+        back = [np.repeat(blend._unpacked(f, n, p), 1 if c is None else np.frombuffer(c, np.int64)) for _, f, n, p, c in runs]
+        assert np.array_equal(np.concatenate(back), keys)
+        assert [r[0] for r in runs] == sorted({r[0] for r in runs})
+    tied = list(blend._runs(np.zeros(1_000_000, np.int64), np.array([], np.int64)))
+    assert len(tied) == 1 and tied[0][2] == 1 and len(tied[0][3]) == 0
+    counts = [np.array([3, 1]), None, np.array([2])]
+    assert blend._pairs([np.array([1, 5]), np.array([1, 7]), np.array([5])], [1, 0, 0], counts) == (4, 4, 3 * 0.5 + 1 + 2 * 0.5)
