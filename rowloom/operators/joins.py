@@ -15,12 +15,12 @@ HOT_SHARE = 256
 SALTS = 64
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE, fraction: float = 0.02) -> DataFrame:
-    """Keys with more than ``1/share`` of a row sample. Results never depend on this list."""
+def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE, fraction: float = 0.02, least: int = 0) -> DataFrame:
+    """Keys with more than ``1/share`` of a row sample, and about ``least`` rows in all. Results never depend on this list."""
     sampled = df.select(*keys).sample(fraction=fraction, seed=11)
     counted = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = sampled.select(F.count(F.lit(1))).scalar()
-    return counted.where(F.col("_n") * share > total).select(*keys)
+    return counted.where((F.col("_n") * share > total) & (F.col("_n") >= least * fraction)).select(*keys)
 
 
 def skew_join(

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions import expr as E
+from rowloom.operators.joins import hot_keys
 from rowloom.operators.schema import clean_name
+from rowloom.session import is_planned_small
 
 NUM_STATS = ("mean", "max", "min", "sum", "var")
 CAT_STATS = ("mean", "sum")
@@ -74,12 +76,13 @@ class Distinct:
 class _Aggregate:
     """An output column: SQL text, or a Column given by the caller. Text keeps the building of
     plans with thousands of aggregates cheap. ``distinct``: the condition (or "") of a count of the source's
-    distinct values, which goes its own way."""
+    distinct values, which goes its own way. ``zero``: it is 0, and not NULL, over no rows."""
 
     name: str
     value: Column | str
     source: str = ""
     distinct: str | None = None
+    zero: bool = False
 
     def column(self) -> Column:
         if isinstance(self.value, str):
@@ -164,7 +167,7 @@ def _share_columns(prefix, part, cond, categories, binary, stats) -> list[_Aggre
 def _slice_columns(prefix, s: Slice, cond, num, num_stats, categories, binary, cat_stats) -> list[_Aggregate]:
     wanted = s.num if s.num is not None else {c: num_stats for c in num}
     out = [
-        _Aggregate(_name(prefix, s.name, c, how), stat_sql(how, _quoted(c), cond), c, (cond or "") if how == "nunique" else None)
+        _Aggregate(_name(prefix, s.name, c, how), stat_sql(how, _quoted(c), cond), c, (cond or "") if how == "nunique" else None, how in ("count", "any"))
         for c, stats in wanted.items()
         for how in stats
     ]
@@ -217,11 +220,44 @@ def distinct_counts(df: DataFrame, key: str, wanted: Sequence[tuple[str, str, st
 
 def ranked(df: DataFrame, key: str, order: Sequence[str], newest_first: bool, k: int) -> DataFrame:
     """The first k rows of each entity with their position ``_rn``."""
-    turn = [F.col(c).desc_nulls_last() if newest_first else F.col(c).asc_nulls_last() for c in order]
-    position = F.row_number().over(Window.partitionBy(key).orderBy(*turn))
+    position = F.row_number().over(Window.partitionBy(key).orderBy(*_turn(order, newest_first)))
     return df.withColumn("_rn", position).where(F.col("_rn") <= k)
 
 
+#: An entity with fewer rows is no burden for one task.
+HOT_ROWS = 200_000
+
+
+def _hot_entities(rows: DataFrame, key: str) -> list:
+    """At most HOT_SHARE entities that hold a large part of all rows, by a sample; no result depends on them."""
+    return [] if is_planned_small(rows) else [r[0] for r in hot_keys(rows, [key], least=HOT_ROWS).collect()]
+
+
+def _turn(order: Sequence[str], newest_first: bool) -> list[Column]:
+    return [F.col(c).desc_nulls_last() if newest_first else F.col(c).asc_nulls_last() for c in order]
+
+
+def _sliced(rows: DataFrame, key: str, columns: Sequence[tuple[Slice, Sequence[_Aggregate]]]) -> DataFrame:
+    """The unconditional aggregates of each slice. The rows of an entity meet in one shuffle, get their places, and go
+    to the slices they are in; an aggregate then sees the rows of its slice only, and one row per slice is kept."""
+    rankings = list(dict.fromkeys(s.ranking for s, _ in columns if s.ranking))
+    placed = rows
+    for i, (order, newest) in enumerate(rankings):
+        placed = placed.withColumn(f"_rn{i}", F.row_number().over(Window.partitionBy(key).orderBy(*_turn(order, newest))))
+    within = [f"_rn{rankings.index(s.ranking)} <= {s.last_k or s.first_k}" if s.ranking else s.where or "true" for s, _ in columns]
+    hits = ", ".join(f"if({w}, {i}, -1)" for i, w in enumerate(within))
+    long = placed.withColumn("_slice", F.explode(F.expr(f"array_remove(array({hits}), -1)")))
+    cells = {v: f"_a{i}" for i, v in enumerate(dict.fromkeys(a.value for _, part in columns for a in part))}
+    graded = long.groupBy(key, "_slice").agg(*[F.expr(f"{value} AS {cell}") for value, cell in cells.items()])
+    held = graded.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_slice", F.struct(*cells.values())))).alias("_held"))
+    shown = []
+    for i, (_, part) in enumerate(columns):
+        for a in part:
+            x = f"_held[{i}].{cells[a.value]}"
+            shown.append(F.expr(f"coalesce({x}, 0) AS `{a.name}`" if a.zero else f"{x} AS `{a.name}`"))
+    return held.select(key, *shown)
+
+
 def rollup(
     df: DataFrame,
     key: str,
@@ -235,21 +271,29 @@ def rollup(
     decays: Sequence[Decay] = (),
     trends: Sequence[Trend] = (),
     extra: Mapping[str, Column | str | Distinct] | None = None,
+    together: bool = False,
 ) -> DataFrame:
     """Roll child rows up to one row per ``key`` (rows without a key are left out).
 
     ``categories`` maps a category column to its fitted values (None among them asks for the
     share of missing values). Output names are ``PREFIX_SLICE_COLUMN_STAT``.
+
+    ``together``: slices by position and by condition share one shuffle of the rows. For many slices of many columns,
+    whose partial aggregates are wider than the rows they stand for. ``df`` is read twice, and once more for hot entities.
     """
     categories = categories or {}
     rows = df.where(F.col(key).isNotNull())
+
+    def slice_columns(s: Slice, cond: str | None) -> list[_Aggregate]:
+        return _slice_columns(prefix, s, cond, num, num_stats, categories, binary, cat_stats)
+
     fused: list[_Aggregate] = []
     by_rank: dict[tuple, list[Slice]] = {}
     for s in slices:
         if s.ranking:
             by_rank.setdefault(s.ranking, []).append(s)
             continue
-        fused += _slice_columns(prefix, s, s.where, num, num_stats, categories, binary, cat_stats)
+        fused += slice_columns(s, s.where)
     for d in decays:
         fused += [_Aggregate(_name(prefix, c, "TWMEAN"), decayed_mean(c, d.time, d.rate), c) for c in d.cols]
     for t in trends:
@@ -258,12 +302,28 @@ def rollup(
         counted = isinstance(value, Distinct)
         fused.append(_Aggregate(name, "", value.column, value.where or "") if counted else _Aggregate(name, value))
 
+    if together and by_rank and not (decays or trends or extra):
+        ordered = [s for s in slices if not s.ranking] + [s for group in by_rank.values() for s in group]
+        columns = [(s, slice_columns(s, None)) for s in ordered]
+        if not any(a.distinct is not None for _, part in columns for a in part):
+            hot = _hot_entities(rows, key)
+            if not hot:
+                return _sliced(rows, key, columns)
+            # Rows of a hot entity are aggregated where they lie, and only few of a map task are ranked.
+            is_hot = F.col(key).isin(hot)
+            apart = _conditional(rows.where(is_hot), key, fused, by_rank, slice_columns)
+            return _sliced(rows.where(~is_hot), key, columns).unionByName(apart)
+    return _conditional(rows, key, fused, by_rank, slice_columns)
+
+
+def _conditional(rows: DataFrame, key: str, fused: Sequence[_Aggregate], by_rank: Mapping[tuple, Sequence[Slice]], slice_columns) -> DataFrame:
+    """All slices as conditions inside one aggregate, those by position in one more per order."""
     out = _aggregate(rows, key, fused) if fused or not by_rank else None
     for (order, newest), group in by_rank.items():
         top = ranked(rows, key, order, newest, max(s.last_k or s.first_k for s in group))
         columns: list[_Aggregate] = []
         for s in group:
-            columns += _slice_columns(prefix, s, f"_rn <= {s.last_k or s.first_k}", num, num_stats, categories, binary, cat_stats)
+            columns += slice_columns(s, f"_rn <= {s.last_k or s.first_k}")
         piece = _aggregate(top, key, columns)
         out = piece if out is None else out.join(piece, key, "left")
     return out

@@ -18,6 +18,7 @@ from rowloom.operators import schema
 from rowloom.operators.assemble import join_features, union_by_name
 from rowloom.operators.encode import Factorize
 from rowloom.operators.rollup import Decay, Slice, Trend
+from rowloom.session import dropped_shuffles, is_planned_small, stored
 
 KEY, LABEL = "SK_ID_CURR", "TARGET"
 IDS = ("SK_ID_CURR", "SK_ID_PREV", "SK_ID_BUREAU")
@@ -479,6 +480,10 @@ def _order(df: DataFrame, table: str) -> tuple[str, ...]:
 
 def child_features(df: DataFrame, table: str, generation: str) -> DataFrame:
     """All rollups of one child table, one row per applicant."""
+    if table in LAST_K.get(generation, {}) and not is_planned_small(df):
+        # Types, categories, hot applicants and slices are found in passes of their own.
+        with dropped_shuffles(df.sparkSession):
+            df = stored(df, table)
     df = derive_child(df, table, generation)
     numeric, text = schema.column_classes(df.drop(*IDS))
     if generation == "6":
@@ -494,7 +499,7 @@ def child_features(df: DataFrame, table: str, generation: str) -> DataFrame:
         slices += [Slice(f"NUM_{i}", f"NUM_INSTALMENT_NUMBER = {i}") for i in (1, 2, 3, 4)]
     out = R.rollup(
         df, KEY, PREFIX[table], numeric, schema.categories(df, text), binary, slices,
-        cat_stats=["mean", "sum"] if generation in ("1v2", "4", "5") else ["mean"],
+        cat_stats=["mean", "sum"] if generation in ("1v2", "4", "5") else ["mean"], together=True,
     )
     if table == "bureau":
         out = R.ratio_of(out, RATIO_PAIRS.get(generation, []), 1 if generation == "2" else 0)

@@ -119,3 +119,26 @@ def test_quotes_in_category_values(spark):
     df = spark.createDataFrame([(1, "it's"), (1, "a\\b")], "id int, c string")
     out = R.rollup(df, "id", "P", categories={"c": ["it's", "a\\b"]}, cat_stats=["sum"]).first()
     assert (out["P_C_IT_S_SUM"], out["P_C_A_B_SUM"]) == (1, 1)
+
+
+@pytest.mark.parametrize("hot_rows", [200_000, 1])
+def test_slices_together_equal_slices_apart(large, monkeypatch, hot_rows):
+    """One shuffle of the rows, and no aggregate per slice before it; hot entities go the other way."""
+    monkeypatch.setattr(R, "HOT_ROWS", hot_rows)
+    data = [(None if i % 50 == 0 else i % 7 if i % 3 else 1, None if i % 11 == 0 else -i % 40, float(i % 13) if i % 5 else None, "ab"[i % 2] if i % 9 else None, i % 2 if i % 17 else None, i) for i in range(3000)]
+    df = large.createDataFrame([*data, (99, None, None, None, None, 9999)], "id int, t int, v double, c string, b int, tie int")
+    slices = [Slice("OLD", "t < -20", count=True), Slice("NEVER", "t > 0", num={"v": ["count", "sum", "any", "std"]}, count=True)]
+    slices += [Slice("LAST_2", last_k=2, order=("t", "tie")), Slice(count=True), Slice("FIRST_1", first_k=1, order=("t", "tie"), shares=False), Slice("LAST_5", last_k=5, order=("t", "tie"))]
+    args = (df, "id", "P", ["v", "t"], {"c": ["a", "b", None]}, ["b"], slices)
+    apart, together = R.rollup(*args), R.rollup(*args, together=True)
+    assert apart.dtypes == together.dtypes
+    want, got = rows(apart, "id"), rows(together, "id")
+    assert len(want) == len(got) == 8
+    for a, b in zip(want, got):
+        assert b == tuple(x if x is None or isinstance(x, int) else pytest.approx(x, rel=1e-9, abs=1e-9) for x in a)
+    plan = together._jdf.queryExecution().executedPlan().toString()
+    if hot_rows > 1:
+        assert plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" not in plan and "Join" not in plan
+    else:
+        assert "Union" in plan and "WindowGroupLimit" in plan
+    assert R.rollup(*args[:6], [Slice("L", last_k=2, order=("t", "tie"), num={"v": ["nunique"]})], together=True).count() == 8
