@@ -68,3 +68,18 @@ def test_a_whole_run(spark, generation):
     assert sum(result.weights.values()) == pytest.approx(1)
     if generation == "5":
         assert any(c.endswith("_PRED") for c in result.features) or len(result.features) <= 30
+
+
+def test_instalments_are_read_once_and_meet_their_applicant_before_any_aggregate(large):
+    """Generations 1v2 and 4: rows that come out of a join are stored, and no aggregate of all slices is shuffled."""
+    from rowloom.plans import credit
+    from rowloom.plans.catalog.presets import credit_tables
+
+    from conftest import SMALL
+
+    child = credit_tables(large, SMALL)["installments"]
+    for generation in ("1v2", "4"):
+        out = credit.child_features(child, "installments", generation)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+        assert plan.rindex("Aggregate") < plan.index("Exchange hashpartitioning")  # plans show the last step first
